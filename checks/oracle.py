@@ -430,7 +430,7 @@ UNION ALL SELECT 'Brier', round(brier, 6) FROM c
 UNION ALL SELECT 'Pred_Mean', round(mean, 6) FROM c
 UNION ALL SELECT 'Positive_Rate', round(rate, 6) FROM c""",
         "q_concept_drift": w + SCORED + """
-SELECT snapshot_date, round(avg(abs(label - model_predictions)), 6) AS prediction_error FROM scored
+SELECT snapshot_date, round(avg(abs(label - model_predictions)), 10) AS prediction_error FROM scored
 WHERE model_name = 'gbt_a' GROUP BY 1""",
         "q_prediction_error": w + SCORED
         + " SELECT *, round(abs(label - model_predictions), 6) AS prediction_error FROM scored",

@@ -340,7 +340,7 @@ def q_perf_metrics(spark, sf):
 
 
 def q_concept_drift(spark, sf):
-    return _rounded(monitor.concept_drift(scored(spark, sf)), ["prediction_error"], 6)
+    return _rounded(monitor.concept_drift(scored(spark, sf)), ["prediction_error"], 10)
 
 
 def q_prediction_error(spark, sf):

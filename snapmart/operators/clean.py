@@ -41,16 +41,13 @@ def outlier_bounds(
     """
     find = {"exact": exact_quantiles, "approx": approximate_quantiles}[method]
     quartiles = find(df, by, columns, [0.25, 0.75])
-
-    def quartile(c, p):
-        return F.max(F.when((F.col("column") == c) & (F.col("probability") == p), F.col("value")))
-
-    bounds = []
-    for c in columns:
-        q1, q3 = quartile(c, 0.25), quartile(c, 0.75)
-        reach = F.lit(float(fences)) * (q3 - q1)
-        bounds += [(q1 - reach).alias(f"{c}_low"), (q3 + reach).alias(f"{c}_high")]
-    return quartiles.groupBy(*by).agg(*bounds)
+    q1, q3 = (F.max(F.when(F.col("probability") == p, F.col("value"))) for p in (0.25, 0.75))
+    fences_of = quartiles.groupBy(*by, "column").agg(q1.alias("q1"), q3.alias("q3"))
+    reach = F.lit(float(fences)) * (F.col("q3") - F.col("q1"))
+    fences_of = fences_of.select(
+        *by, "column", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high")
+    )
+    return fences_of.groupBy(*by).pivot("column", columns).agg(F.max("low").alias("low"), F.max("high").alias("high"))
 
 
 def drop_outliers(

@@ -6,27 +6,66 @@ from snapmart.operators.clean import drop_sparse_columns
 from snapmart.schemas import CLICK_FEATURES, ENTITY, SNAPSHOT
 
 
+def hot_keys(df: DataFrame, key: str, most: int = 10_000, floor: int = 100_000) -> list:
+    """The ``most`` largest keys among those with more than ``floor`` rows; it reads the key column only.
+
+    Any other key holds at most ``1/most`` of all rows, or ``floor`` rows.
+    """
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
+    largest = counts.filter(F.col("rows") > floor).orderBy(F.desc("rows"), key).limit(most)
+    return [r[key] for r in largest.collect()]
+
+
 def rolling_month_average(
-    clicks: DataFrame, features: list[str] = CLICK_FEATURES, months: int = 5, entity: str = ENTITY
+    clicks: DataFrame,
+    features: list[str] = CLICK_FEATURES,
+    months: int = 5,
+    entity: str = ENTITY,
+    hot: list | None = None,
 ) -> DataFrame:
     """Mean of each feature over the current and ``months - 1`` preceding calendar months, one row per key.
 
-    Rows are first summed per (entity, date) before the shuffle, so an entity holds at most one row per
-    calendar date in the window, however many raw rows it has. Missing months are simply absent.
+    Missing months are simply absent; every raw row counts alike, also where a key has several. One shuffle by
+    entity serves the window and later joins on it. Entities with very many rows (``hot``, measured if not
+    given) are first summed per date, and then have at most one row per calendar date in the window.
     """
     keyed = clicks.filter(F.col(entity).isNotNull() & F.col(SNAPSHOT).isNotNull())
-    sums = [F.sum(F.col(c).cast("double")).alias(f"{c}_sum") for c in features]
-    counts = [F.count(c).alias(f"{c}_count") for c in features]
-    daily = keyed.groupBy(entity, SNAPSHOT).agg(*sums, *counts)
-    span = (
+    keyed = keyed.select(entity, SNAPSHOT, *[F.col(c).cast("double").alias(c) for c in features])
+    if hot is None:
+        hot = hot_keys(keyed, entity)
+    if not hot:
+        return _window_means(keyed, features, months, entity)
+    is_hot = F.col(entity).isin(hot)
+    return _window_means(keyed.filter(~is_hot), features, months, entity).unionByName(
+        _window_means_of_sums(keyed.filter(is_hot), features, months, entity)
+    )
+
+
+def _span(entity: str, months: int) -> str:
+    return (
         f"OVER (PARTITION BY `{entity}` ORDER BY `{SNAPSHOT}` "
         f"RANGE BETWEEN INTERVAL '{months - 1}' MONTH PRECEDING AND CURRENT ROW)"
     )
-    averages = [
-        F.expr(f"try_divide(sum(`{c}_sum`) {span}, sum(`{c}_count`) {span})").alias(f"{c}_{months}m_avg")
-        for c in features
+
+
+def _window_means(rows: DataFrame, features: list[str], months: int, entity: str) -> DataFrame:
+    span = _span(entity, months)
+    means = [F.expr(f"avg(`{c}`) {span} AS `{c}_{months}m_avg`") for c in features]
+    before = F.expr(f"lag(`{SNAPSHOT}`) OVER (PARTITION BY `{entity}` ORDER BY `{SNAPSHOT}`) AS before")
+    # Rows of one key have equal means; only the first of them is kept.
+    first_of_key = F.col("before").isNull() | (F.col("before") != F.col(SNAPSHOT))
+    return rows.select(entity, SNAPSHOT, *means, before).filter(first_of_key).drop("before")
+
+
+def _window_means_of_sums(rows: DataFrame, features: list[str], months: int, entity: str) -> DataFrame:
+    span = _span(entity, months)
+    sums = [F.sum(c).alias(f"{c}_sum") for c in features]
+    counts = [F.count(c).alias(f"{c}_count") for c in features]
+    daily = rows.groupBy(entity, SNAPSHOT).agg(*sums, *counts)
+    means = [
+        F.expr(f"try_divide(sum(`{c}_sum`) {span}, sum(`{c}_count`) {span}) AS `{c}_{months}m_avg`") for c in features
     ]
-    return daily.select(entity, SNAPSHOT, *averages)
+    return daily.select(entity, SNAPSHOT, *means)
 
 
 def customer_profiles(financials: DataFrame, attributes: DataFrame, max_null_percent: float = 5.0) -> DataFrame:
@@ -35,16 +74,6 @@ def customer_profiles(financials: DataFrame, attributes: DataFrame, max_null_per
     return complete.join(attributes.drop("Age", "Name", "SSN"), [ENTITY, SNAPSHOT], "inner")
 
 
-def hot_keys(df: DataFrame, key: str, most: int = 1000, floor: int = 100_000) -> list:
-    """The ``most`` largest keys among those with more than ``floor`` rows.
-
-    Any other key holds at most ``1/most`` of all rows, or ``floor`` rows.
-    """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
-    largest = counts.filter(F.col("rows") > floor).orderBy(F.desc("rows"), key).limit(most)
-    return [r[key] for r in largest.collect()]
-
-
 def attach_profiles(profiles: DataFrame, clicks: DataFrame, hot: list | None = None, salts: int = 256) -> DataFrame:
     """Every click row with each profile of its customer, whatever the profile's date; none leaves nulls.
 
