@@ -99,11 +99,10 @@ def raw_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         f" else cast(sum(o_orderkey * {i} % 97 - 40) as double) end as {c}"
         for i, c in enumerate(S.CLICK_FEATURES, 1)
     ]
-    orders = _orders(spark, sf_dir)
-    orders.createOrReplaceTempView("_snapmart_orders")
     return spark.sql(
         f"select cast(o_custkey as string) as Customer_ID, month as snapshot_date, {', '.join(sums)}"
-        " from _snapmart_orders group by o_custkey, month"
+        " from {orders} group by o_custkey, month",
+        orders=_orders(spark, sf_dir),
     )
 
 

@@ -42,12 +42,10 @@ def outlier_bounds(
     find = {"exact": exact_quantiles, "approx": approximate_quantiles}[method]
     quartiles = find(df, by, columns, [0.25, 0.75])
     q1, q3 = (F.max(F.when(F.col("probability") == p, F.col("value"))) for p in (0.25, 0.75))
-    fences_of = quartiles.groupBy(*by, "column").agg(q1.alias("q1"), q3.alias("q3"))
-    reach = F.lit(float(fences)) * (F.col("q3") - F.col("q1"))
-    fences_of = fences_of.select(
-        *by, "column", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high")
-    )
-    return fences_of.groupBy(*by).pivot("column", columns).agg(F.max("low").alias("low"), F.max("high").alias("high"))
+    wide = quartiles.groupBy(*by).pivot("column", columns).agg(q1.alias("q1"), q3.alias("q3"))
+    reach = f"{float(fences)!r}D * (`{{c}}_q3` - `{{c}}_q1`)"
+    ends = [f"`{{c}}_q1` - {reach} AS `{{c}}_low`", f"`{{c}}_q3` + {reach} AS `{{c}}_high`"]
+    return wide.select(*by, *[F.expr(end.format(c=c)) for c in columns for end in ends])
 
 
 def drop_outliers(

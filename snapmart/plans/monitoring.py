@@ -6,6 +6,7 @@ from snapmart.operators import monitor
 from snapmart.operators.profile import count_by_snapshot
 from snapmart.plans.layout import Mart
 from snapmart.schemas import SNAPSHOT
+from snapmart.session import materialize
 from snapmart.sources.snapshots import read_table
 
 # The features whose distribution is watched.
@@ -19,11 +20,15 @@ def performance_report(spark: SparkSession, mart: Mart, model_name: str) -> Data
 
 
 def drift_reports(spark: SparkSession, mart: Mart, baseline, current, watched=WATCHED) -> dict[str, DataFrame]:
-    """Label counts, feature drift, prediction stability and concept drift between two snapshots."""
+    """Label counts, concept drift, and feature drift and prediction stability between two snapshots.
+
+    The joined table is written once, with only the columns that the reports read.
+    """
     predictions, features, labels = (
         read_table(spark, mart.gold(t)) for t in ("model_predictions", "feature_store", "label_store")
     )
-    merged = monitor.monitoring_frame(predictions, features, labels)
+    merged = monitor.monitoring_frame(predictions, features.select(*monitor.KEYS, *watched), labels)
+    merged = materialize(merged, "monitoring-frame")
     then, now = (F.col(SNAPSHOT) == F.lit(d).cast("date") for d in (baseline, current))
     return {
         "label_counts": count_by_snapshot(labels),

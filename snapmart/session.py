@@ -25,8 +25,18 @@ def work_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{work_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{work_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_work_tables(spark: SparkSession) -> None:
+    """Delete this application's tables in the work folder, once nothing reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -13,8 +13,6 @@ def spark():
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "8g")
-        # Short jobs: quick compilation matters more than the best code.
-        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1 -XX:+UseParallelGC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
