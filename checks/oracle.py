@@ -329,9 +329,25 @@ _FEATURE_COLUMNS = f"Customer_ID, {', '.join([*_KEPT, 'Occupation'])}, {_average
 _LOAN_SELECT = "SELECT * FROM loans"
 
 
+_METRICS = "WITH " + SCORED + "," + _auc("scored", "model_name") + """,
+marked AS (
+  SELECT label, model_predictions AS p, model_predictions >= 0.5 AS yes FROM scored WHERE model_name = 'gbt_a'),
+c AS (SELECT count(*) FILTER (yes AND label = 1) AS tp, count(*) FILTER (yes AND label = 0) AS fp,
+     count(*) FILTER (NOT yes AND label = 1) AS fn, avg((p - label) * (p - label)) AS brier,
+     avg(p) AS mean, avg(yes::INTEGER) AS rate FROM marked)
+SELECT 'AUC' AS Metric, round(auc, 6) AS Value FROM areas WHERE model_name = 'gbt_a'
+UNION ALL SELECT 'F1', round(2 * tp / (2 * tp + fp + fn), 6) FROM c
+UNION ALL SELECT 'Precision', round(tp / (tp + fp), 6) FROM c
+UNION ALL SELECT 'Recall', round(tp / (tp + fn), 6) FROM c
+UNION ALL SELECT 'Brier', round(brier, 6) FROM c
+UNION ALL SELECT 'Pred_Mean', round(mean, 6) FROM c
+UNION ALL SELECT 'Positive_Rate', round(rate, 6) FROM c"""
+
+
 def oracle_sql() -> dict[str, str]:
     w = "WITH "
     return {
+        "q_performance_report": _METRICS,
         "q_snapshot_list": w + LMS + " SELECT DISTINCT snapshot_date::VARCHAR AS snapshot_date FROM lms ORDER BY 1",
         "q_snapshot_filter": w + LOANS + " SELECT * FROM loans WHERE snapshot_date = DATE '1998-06-01'",
         "q_time_window": w + LABELS
@@ -416,19 +432,7 @@ JOIN labels_90 USING (Customer_ID, snapshot_date)""",
 scored_split AS (SELECT * FROM split_rows JOIN predictions USING (Customer_ID, snapshot_date)
                  WHERE model_name = 'gbt_a'),""" + _auc("scored_split", "split")
         + " SELECT split, round(auc, 8) AS auc, round(2 * auc - 1, 3) AS gini FROM areas",
-        "q_perf_metrics": w + SCORED + "," + _auc("scored", "model_name") + """,
-marked AS (
-  SELECT label, model_predictions AS p, model_predictions >= 0.5 AS yes FROM scored WHERE model_name = 'gbt_a'),
-c AS (SELECT count(*) FILTER (yes AND label = 1) AS tp, count(*) FILTER (yes AND label = 0) AS fp,
-             count(*) FILTER (NOT yes AND label = 1) AS fn, avg((p - label) * (p - label)) AS brier,
-             avg(p) AS mean, avg(yes::INTEGER) AS rate FROM marked)
-SELECT 'AUC' AS Metric, round(auc, 6) AS Value FROM areas WHERE model_name = 'gbt_a'
-UNION ALL SELECT 'F1', round(2 * tp / (2 * tp + fp + fn), 6) FROM c
-UNION ALL SELECT 'Precision', round(tp / (tp + fp), 6) FROM c
-UNION ALL SELECT 'Recall', round(tp / (tp + fn), 6) FROM c
-UNION ALL SELECT 'Brier', round(brier, 6) FROM c
-UNION ALL SELECT 'Pred_Mean', round(mean, 6) FROM c
-UNION ALL SELECT 'Positive_Rate', round(rate, 6) FROM c""",
+        "q_perf_metrics": _METRICS,
         "q_concept_drift": w + SCORED + """
 SELECT snapshot_date, round(avg(abs(label - model_predictions)), 10) AS prediction_error FROM scored
 WHERE model_name = 'gbt_a' GROUP BY 1""",

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from checks import fixtures as X
 from snapmart import schemas as S
 from snapmart.operators import clean, dataset, features, loans, model, monitor, profile
-from snapmart.plans import etl, training
+from snapmart.plans import etl, monitoring, training
 from snapmart.plans.layout import Mart
-from snapmart.plans.monitoring import WATCHED
 from snapmart.session import materialize, new_path
 from snapmart.sources import snapshots
 
@@ -339,6 +338,15 @@ def q_perf_metrics(spark, sf):
     return _rounded(monitor.metrics_table(scored(spark, sf)), ["Value"], 6)
 
 
+def q_performance_report(spark, sf):
+    """The metrics again, from stored predictions and labels."""
+    mart = Mart(new_path(spark, "mart"))
+    stored = X.predictions(spark, sf)
+    snapshots.write_snapshots(stored, mart.gold("model_predictions"), partition_columns=("model_name", S.SNAPSHOT))
+    snapshots.write_snapshots(labels(spark, sf), mart.gold("label_store"))
+    return _rounded(monitoring.performance_report(spark, mart, "gbt_a"), ["Value"], 6)
+
+
 def q_concept_drift(spark, sf):
     return _rounded(monitor.concept_drift(scored(spark, sf)), ["prediction_error"], 10)
 
@@ -354,7 +362,7 @@ def _before_and_after():
 def q_ks(spark, sf):
     rows = feature_rows(spark, sf)
     return _rounded(
-        monitor.ks_drift(rows, WATCHED, *_before_and_after(), p_value="asymptotic"), ["ks", "p_value"], 6
+        monitor.ks_drift(rows, monitoring.WATCHED, *_before_and_after(), p_value="asymptotic"), ["ks", "p_value"], 6
     )
 
 
@@ -362,7 +370,7 @@ def q_ks_snapshots(spark, sf):
     """Two snapshots of the monitoring frame against each other, with exact p-values."""
     merged = monitor.monitoring_frame(X.predictions(spark, sf), feature_rows(spark, sf), labels(spark, sf))
     then, now = (F.col(S.SNAPSHOT) == F.lit(d) for d in (date(1998, 11, 1), date(1998, 12, 1)))
-    return _rounded(monitor.ks_drift(merged, WATCHED, then, now), ["ks", "p_value"], 6)
+    return _rounded(monitor.ks_drift(merged, monitoring.WATCHED, then, now), ["ks", "p_value"], 6)
 
 
 def q_psi_independent(spark, sf):

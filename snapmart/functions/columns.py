@@ -21,8 +21,13 @@ def strip_underscores(c: Column) -> Column:
     return F.regexp_replace(c, "_", "")
 
 
-def number_from_text(c: Column, type_name: str = "float") -> Column:
-    return strip_underscores(c).try_cast(type_name)
+def number_from_text(c: Column) -> Column:
+    return strip_underscores(c).try_cast("float")
+
+
+def whole_number(c: Column) -> Column:
+    """Text as an integer; a fraction, such as the ``.0`` of exported nullable integers, is cut off."""
+    return F.coalesce(c.try_cast("int"), c.try_cast("decimal(38,18)").try_cast("int"))
 
 
 def within(c: Column, low, high) -> Column:
@@ -31,7 +36,7 @@ def within(c: Column, low, high) -> Column:
 
 
 def age(c: Column) -> Column:
-    return within(number_from_text(c, "int"), 0, 100)
+    return within(whole_number(strip_underscores(c)), 0, 100)
 
 
 def history_months(c: Column) -> Column:

@@ -10,7 +10,13 @@ from snapmart.session import materialize
 
 def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast the listed columns that exist, malformed values to null; other columns pass through."""
-    return df.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
+    def cast(name, kind):
+        if kind == "string" and types[name] == "int":
+            return C.whole_number(F.col(name))
+        return F.col(name).try_cast(types[name])
+
+    return df.select(*[cast(c, kind).alias(c) if c in types else F.col(c) for c, kind in df.dtypes])
 
 
 def clean_attributes(raw: DataFrame) -> DataFrame:
@@ -79,10 +85,19 @@ def normalize_financial_texts(df: DataFrame) -> DataFrame:
     return df.select(*kept)
 
 
+def type_financials(raw: DataFrame) -> DataFrame:
+    """Financial rows with normalised texts and 32-bit numbers, outliers still in."""
+    texts = normalize_financial_texts(raw)
+    return numbers_from_text(texts, [c for c in FINANCIAL_NUMBERS if c in texts.columns])
+
+
+def drop_financial_outliers(typed: DataFrame, method: str = "exact") -> DataFrame:
+    """Typed financial rows with the outliers of each snapshot emptied; reads its input several times."""
+    return drop_outliers(typed, [c for c in FINANCIAL_NUMBERS if c in typed.columns], method=method)
+
+
 def clean_financials(raw: DataFrame, method: str = "exact") -> DataFrame:
-    """Typed financial rows: text columns normalised, and numbers cleaned per snapshot."""
-    typed = normalize_financial_texts(raw)
-    return clean_numeric(typed, [c for c in FINANCIAL_NUMBERS if c in typed.columns], method=method)
+    return drop_financial_outliers(type_financials(raw), method)
 
 
 def underscores_to_null(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from snapmart.functions.columns import whole_number
 from snapmart.schemas import ENTITY, SNAPSHOT
 
 
@@ -29,7 +30,7 @@ def not_matching(df: DataFrame, column: str, pattern: str) -> DataFrame:
 
 def out_of_range(df: DataFrame, column: str, low, high) -> DataFrame:
     """Distinct numeric values outside the closed range, sorted; text that is not a number is ignored."""
-    value = F.col(column).try_cast("int")
+    value = whole_number(F.col(column))
     return (
         df.select(value.alias(column))
         .filter((F.col(column) < low) | (F.col(column) > high))

@@ -79,6 +79,12 @@ def split_into_snapshots(raw: DataFrame, path: str) -> None:
     write_snapshots(dated.filter(F.col(SNAPSHOT).isNotNull()), path, "csv")
 
 
+def undated_rows(raw: DataFrame) -> DataFrame:
+    """The snapshot texts that are not dates, with their row counts: what bronze leaves out."""
+    bad = raw.filter(F.col(SNAPSHOT).try_cast("date").isNull())
+    return bad.groupBy(SNAPSHOT).agg(F.count("*").alias("rows"))
+
+
 def snapshot_list(df: DataFrame) -> DataFrame:
     """The distinct snapshot dates as sorted text."""
     return df.select(F.col(SNAPSHOT).cast("string").alias(SNAPSHOT)).distinct().orderBy(SNAPSHOT)

@@ -18,8 +18,13 @@ def column(df, expr):
 
 
 def test_age(spark):
-    df = texts(spark, ["28_", "-5", "150", "", "abc", None, "0", "100", "101", "_3_4_"])
-    assert column(df, C.age(F.col("v"))) == [28, None, None, None, None, None, 0, 100, None, 34]
+    df = texts(spark, ["28_", "-5", "150", "", "abc", None, "0", "100", "101", "_3_4_", "28.0", "99999999999"])
+    assert column(df, C.age(F.col("v"))) == [28, None, None, None, None, None, 0, 100, None, 34, 28, None]
+
+
+def test_whole_number(spark):
+    df = texts(spark, ["7", "7.0", "-3.7", " 12 ", "x", "", None, "9999999999.5"])
+    assert column(df, C.whole_number(F.col("v"))) == [7, 7, -3, 12, None, None, None, None]
 
 
 def test_tokens_match_whole_values_only(spark):
@@ -60,7 +65,7 @@ def test_date_in_file_name(spark):
 
 
 def test_cast_columns_tolerates_absent_and_malformed(spark):
-    df = spark.createDataFrame([("1", "x", "2024-01-01"), ("a", "y", "soon")], "n string, other string, d string")
+    df = spark.createDataFrame([("1.0", "x", "2024-01-01"), ("a", "y", "soon")], "n string, other string, d string")
     out = clean.cast_columns(df, {"n": "int", "d": "date", "absent": "float"})
     assert dict(out.dtypes) == {"n": "int", "other": "string", "d": "date"}
     assert rows(out) == rows(spark.createDataFrame([(1, "x", date(2024, 1, 1)), (None, "y", None)], out.schema))

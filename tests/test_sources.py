@@ -54,6 +54,7 @@ def test_bronze_keeps_text_as_it_came(spark, tmp_path):
         "c2,,007,123,Lawyer,2024-02-01\n"
         "c3,x,1,1,y,\n"
     )
+    assert rows(snapshots.undated_rows(snapshots.read_raw_csv(spark, str(raw), S.RAW_ATTRIBUTES))) == [(None, 1)]
     mart = Mart(str(tmp_path / "mart"))
     etl.build_bronze(spark, {"attributes": str(raw)}, mart)
     assert (Path(mart.bronze("attributes")) / "snapshot_date=2024-01-01").is_dir()
