@@ -74,6 +74,10 @@ def customer_profiles(financials: DataFrame, attributes: DataFrame, max_null_per
     return complete.join(attributes.drop("Age", "Name", "SSN"), [ENTITY, SNAPSHOT], "inner")
 
 
+# Most copies of a row made at a time.
+_BLOCK = 10_000
+
+
 def attach_profiles(profiles: DataFrame, clicks: DataFrame, hot: list | None = None, salts: int = 256) -> DataFrame:
     """Every click row with each profile of its customer, whatever the profile's date; none leaves nulls.
 
@@ -99,9 +103,6 @@ def attach_profiles(profiles: DataFrame, clicks: DataFrame, hot: list | None = N
     return usual.unionByName(split.select(*usual.columns))
 
 
-_BLOCK = 10_000
-
-
 def _spread_copies(rows: DataFrame, salts: int) -> DataFrame:
     """Distinct rows with a ``salt`` and a ``share``; equal rows share their number over many salts.
 

@@ -21,7 +21,9 @@ def monitoring_frame(predictions: DataFrame, features: DataFrame, labels: DataFr
     return predictions.join(features, KEYS, "inner").join(labels.select(*KEYS, "label"), KEYS, "inner")
 
 
-def auc(df: DataFrame, score: str = "model_predictions", label: str = "label", by: list[str] | None = None) -> DataFrame:
+def auc(
+    df: DataFrame, score: str = "model_predictions", label: str = "label", by: list[str] | None = None
+) -> DataFrame:
     """Exact area under the ROC curve per group; tied scores count half. Null for a group with a single class.
 
     Scores are counted before anything is ordered, and the ordered counts are summed range by range.
@@ -141,7 +143,10 @@ def ks_drift(
         shares.select("feature", "part", "base", "curr", "n_baseline", "n_current", gap.alias("gap"))
         .groupBy("feature", "part", "n_baseline", "n_current")
         .agg(
-            F.max("gap").alias("high"), F.min("gap").alias("low"), F.sum("base").alias("base"), F.sum("curr").alias("curr")
+            F.max("gap").alias("high"),
+            F.min("gap").alias("low"),
+            F.sum("base").alias("base"),
+            F.sum("curr").alias("curr"),
         )
     )
     earlier = earlier_parts(["feature"])
@@ -189,12 +194,13 @@ def population_stability(
         .select(tagged.alias("sample"), F.col(score).cast("double").alias("score"))
         .filter(~F.isnan("score"))
     )
-    # One row, or one per sample.
+    # One row per sample.
+    ends = F.min("score").alias("low"), F.max("score").alias("high")
     if edges == "shared":
-        limits = rows.filter(F.col("sample") == "baseline").agg(F.min("score").alias("low"), F.max("score").alias("high"))
+        limits = rows.filter(F.col("sample") == "baseline").agg(*ends)
         limits = limits.select(F.explode(F.array(F.lit("baseline"), F.lit("current"))).alias("sample"), "low", "high")
     else:
-        limits = rows.groupBy("sample").agg(F.min("score").alias("low"), F.max("score").alias("high"))
+        limits = rows.groupBy("sample").agg(*ends)
     clipped = F.greatest(F.least(F.col("score"), F.col("high")), F.col("low"))
     binned = rows.join(F.broadcast(limits), "sample").select(
         "sample", histogram_bin(clipped, F.col("low"), F.col("high"), bins).alias("bin")

@@ -1,10 +1,9 @@
-"""Raw and typed schemas of the four source tables.
+"""Columns and types of the four source tables.
 
 Raw CSV columns are read as text, so one dirty value never changes a column's type between snapshots.
 """
 
-from pyspark.sql import types as T
-
+# The sources' column names, in this module throughout.
 ENTITY = "Customer_ID"
 SNAPSHOT = "snapshot_date"
 
@@ -74,12 +73,10 @@ NUMERIC_INPUTS = [
 ] + [f"{c}_5m_avg" for c in CLICK_FEATURES]
 
 
-def text_schema(columns) -> T.StructType:
-    """All-string schema for a raw CSV with the given header."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
-
-
-RAW_LOANS = text_schema(LOAN_TYPES)
-RAW_ATTRIBUTES = text_schema(ATTRIBUTE_TYPES)
-RAW_FINANCIALS = text_schema([ENTITY, *FINANCIAL_NUMBERS, *FINANCIAL_TEXTS, SNAPSHOT])
-RAW_CLICKS = text_schema([ENTITY, SNAPSHOT, *CLICK_FEATURES])
+# Column order of the bronze tables; columns beyond these follow in name order.
+RAW_COLUMNS = {
+    "lms": list(LOAN_TYPES),
+    "attributes": list(ATTRIBUTE_TYPES),
+    "financials": [ENTITY, *FINANCIAL_NUMBERS, *FINANCIAL_TEXTS, SNAPSHOT],
+    "clickstream": [ENTITY, SNAPSHOT, *CLICK_FEATURES],
+}

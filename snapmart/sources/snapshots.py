@@ -10,16 +10,15 @@ from snapmart.functions.columns import date_in_file_name
 from snapmart.schemas import SNAPSHOT
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One raw CSV (a file or a folder of them) with a header, read as text under an explicit schema."""
-    return spark.read.schema(schema).csv(path, header=True, mode="PERMISSIVE")
+def read_csv(spark: SparkSession, path: str, columns: list[str] = ()) -> DataFrame:
+    """A CSV file or folder with headers, every column as text, the given columns first and in that order.
 
-
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A snapshot-partitioned CSV table; ``snapshot_date`` comes from the partition folders."""
-    body = T.StructType([f for f in schema.fields if f.name != SNAPSHOT])
-    typed = T.StructType([*body.fields, T.StructField(SNAPSHOT, T.DateType())])
-    return spark.read.schema(typed).csv(path, header=True, mode="PERMISSIVE")
+    Columns go by the header's names, and files whose headers differ are an error rather than shifted columns.
+    Of a snapshot-partitioned folder ``snapshot_date`` comes from the partition folders, as a date.
+    """
+    rows = spark.read.csv(path, header=True, enforceSchema=False, mode="PERMISSIVE")
+    known = [c for c in columns if c in rows.columns]
+    return rows.select(*known, *sorted(set(rows.columns) - set(known)))
 
 
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
@@ -39,7 +38,7 @@ def read_dated_files(
     if schema is not None:
         reader = reader.schema(schema)
     if file_format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     rows = reader.format(file_format).load(path)
     named = rows.withColumn("file_snapshot", date_in_file_name(F.col("_metadata.file_name")))
     undated = (
