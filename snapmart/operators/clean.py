@@ -14,6 +14,8 @@ def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
     def cast(name, kind):
         if kind == "string" and types[name] == "int":
             return C.whole_number(F.col(name))
+        if kind == "string" and types[name] in ("float", "double"):
+            return C.real_number(F.col(name), types[name])
         return F.col(name).try_cast(types[name])
 
     return df.select(*[cast(c, kind).alias(c) if c in types else F.col(c) for c, kind in df.dtypes])

@@ -64,6 +64,16 @@ def test_date_in_file_name(spark):
     assert column(df, C.date_in_file_name(F.col("v"))) == list(cases.values())
 
 
+def test_real_numbers_are_what_a_cast_reads(spark):
+    values = ["1", "-2.5", "+.5", "3.", "1e3", "1.5E-2", " 7 ", "2f", "3D", "x", "", None, "1_0", "--1", "1e", ".", "Infinity",
+              "-inf", "1,5", "12 months"]
+    df = texts(spark, values)
+    cast = column(df, F.col("v").try_cast("float"))
+    assert column(df, C.real_number(F.col("v"))) == cast
+    assert cast[:5] == [1.0, -2.5, 0.5, 3.0, 1000.0] and cast[9:16] == [None] * 7
+    assert str(column(texts(spark, ["NaN"]), C.real_number(F.col("v")))[0]) == "nan"
+
+
 def test_cast_columns_tolerates_absent_and_malformed(spark):
     df = spark.createDataFrame([("1.0", "x", "2024-01-01"), ("a", "y", "soon")], "n string, other string, d string")
     out = clean.cast_columns(df, {"n": "int", "d": "date", "absent": "float"})
