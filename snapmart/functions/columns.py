@@ -30,7 +30,7 @@ def whole_number(c: Column) -> Column:
     """Text as an integer; a fraction, such as the ``.0`` of exported nullable integers, is cut off.
 
     Here and below a pattern is tried first, because a failing ``try_cast`` raises and catches an error inside,
-    which costs a hundred times more than the pattern on columns with much dirt.
+    once per dirty value.
     """
     return _digits(c, WHOLE_PATTERN).try_cast("int")
 
