@@ -2,9 +2,10 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapmart.llm import chat, quality, url_filter
+from snapmart.llm import chat, quality, sentencepiece_bpe, url_filter
 from snapmart.session import materialize
 
 # The stated rules of the URL filter.
@@ -42,6 +43,18 @@ def op3_chat_format(spark, sf):
     return chat.digest(read, "conv_id", ["turn", "position"])
 
 
+def op4_sentencepiece(spark, sf):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    coded = sentencepiece_bpe.encode(docs, model).drop("text")
+    return sentencepiece_bpe.decode(coded, model).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_quality_rules(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text", "source")
     measured = materialize(quality.measure(docs).drop("text"), "quality")
