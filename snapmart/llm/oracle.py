@@ -104,7 +104,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT (base_failed OR bound >= 0.5) AS kept
 FROM judged JOIN bounds USING (host)"""
 
-ORACLE = {"op2_url_filters": OP2, "op3_chat_format": OP3, "op8_quality_rules": OP8}
+OP10 = """
+WITH texts AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+  doc_id = min(doc_id) OVER (PARTITION BY norm) AS kept, sha256(norm) AS text_sha256
+FROM texts"""
+
+ORACLE = {"op10_exact_dedup": OP10, "op2_url_filters": OP2, "op3_chat_format": OP3, "op8_quality_rules": OP8}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapmart.llm import chat, packing, quality, sentencepiece_bpe, url_filter
+from snapmart.llm import chat, exact_dedup, packing, quality, sentencepiece_bpe, url_filter
 from snapmart.session import materialize
 
 # The stated rules of the URL filter.
@@ -70,5 +70,11 @@ def op9_packing(spark, sf):
     return packing.pack_texts(docs, ranks, public_tokenizers.PATTERN, end_id=2)
 
 
+def op10_exact_dedup(spark, sf):
+    return exact_dedup.owners(_table(spark, sf, "documents").select("doc_id", "text")).select(
+        F.col("key").alias("doc_id"), F.col("keep_key").alias("keep_id"), "group_size", "kept", "text_sha256"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
