@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapmart.llm import chat, exact_dedup, packing, quality, sentencepiece_bpe, url_filter
+from snapmart.llm import chat, exact_dedup, packing, quality, sentencepiece_bpe, suffix_dedup, url_filter
 from snapmart.session import materialize
 
 # The stated rules of the URL filter.
@@ -55,6 +55,18 @@ def op4_sentencepiece(spark, sf):
     )
 
 
+def op5_suffix_dedup(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    length = F.octet_length(F.coalesce("text", F.lit("")))
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id",
+        length.cast("long").alias("n_bytes"),
+        (length - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_quality_rules(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text", "source")
     measured = materialize(quality.measure(docs).drop("text"), "quality")
