@@ -66,3 +66,13 @@ def schema_with(df: DataFrame, **added: str):
 
     kept = [f for f in df.schema.fields if f.name not in added]
     return T.StructType(kept + [T.StructField(n, T._parse_datatype_string(t)) for n, t in added.items()])
+
+
+def salted_left_join(rows: DataFrame, table: DataFrame, on: str, salts: int = 64) -> DataFrame:
+    """``rows`` left-joined to ``table``, which has one row per value of ``on``; no value meets its rows in one task.
+
+    Each value's rows are dealt over ``salts`` tasks by all their columns; ``table`` is repeated for each salt.
+    """
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int"))
+    return dealt.join(copies, [on, "_salt"], "left").drop("_salt")

@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapmart.llm import chat, exact_dedup, packing, quality, sentencepiece_bpe, suffix_dedup, url_filter
+from snapmart.llm import chat, exact_dedup, jaccard_join, packing, quality, sentencepiece_bpe, suffix_dedup, url_filter
 from snapmart.session import materialize
 
 # The stated rules of the URL filter.
@@ -67,6 +67,11 @@ def op5_suffix_dedup(spark, sf):
     )
 
 
+def op7_jaccard_join(spark, sf):
+    groups = jaccard_join.near_groups(_table(spark, sf, "documents").select("doc_id", "text"))
+    return groups.select(F.col("key").alias("doc_id"), "class_id", "copy_id", "n_links")
+
+
 def op8_quality_rules(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "text", "source")
     measured = materialize(quality.measure(docs).drop("text"), "quality")
