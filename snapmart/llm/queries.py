@@ -5,7 +5,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from snapmart.llm import chat, exact_dedup, jaccard_join, packing, quality, sentencepiece_bpe, suffix_dedup, url_filter
+from snapmart.llm import (
+    chat, exact_dedup, jaccard_join, language, packing, quality, sentencepiece_bpe, suffix_dedup, url_filter,
+)
+from snapmart.llm.common import crc_fold
 from snapmart.session import materialize
 
 # The stated rules of the URL filter.
@@ -67,6 +70,14 @@ def op5_suffix_dedup(spark, sf):
     )
 
 
+def op6_language_id(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "lang")
+    fold = crc_fold("doc_id", 3)
+    model = language.train(docs.where(fold != 1))
+    found = language.identify(docs.drop("lang"), model)
+    return found.select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op7_jaccard_join(spark, sf):
     groups = jaccard_join.near_groups(_table(spark, sf, "documents").select("doc_id", "text"))
     return groups.select(F.col("key").alias("doc_id"), "class_id", "copy_id", "n_links")
