@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapmart.llm import (
-    chat, exact_dedup, jaccard_join, language, packing, quality, sentencepiece_bpe, suffix_dedup, url_filter,
+    chat, exact_dedup, jaccard_join, language, packing, quality, sentencepiece_bpe, suffix_dedup, toxicity,
+    url_filter,
 )
 from snapmart.llm.common import crc_fold
 from snapmart.session import materialize
@@ -27,6 +28,16 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_toxicity(spark, sf):
+    docs, labels = _table(spark, sf, "documents").select("doc_id", "text", "lang"), _table(spark, sf, "labels")
+    fold = crc_fold("doc_id", 5)
+    network = toxicity.train(docs, labels.where(fold != 0).select("doc_id", "toxic"))
+    scored = toxicity.flag(toxicity.score(docs, network), network)
+    return scored.select(
+        "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "flagged"
+    )
+
+
 def op2_url_filters(spark, sf):
     pages = _table(spark, sf, "pages").select("page_id", "url")
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
