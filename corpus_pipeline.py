@@ -1,12 +1,62 @@
-"""The corpus pipeline: each stage's kept documents are written and reread as the next stage's input."""
+"""The corpus pipeline: each stage's kept documents are written and reread as the next stage's input.
 
-from pyspark.sql import DataFrame, SparkSession
+Stages take (spark, docs, sf_dir) and return the columns of ``docs``; the last returns packed pieces. Repeated rows are
+documents of their own until exact dedup; null texts have no language and go. An empty table gives an empty result.
+"""
 
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from snapmart.llm import exact_dedup, jaccard_join, language, packing, suffix_dedup
+from snapmart.llm.common import crc_fold
 from snapmart.session import materialize
 
-STAGES = []
+#: A text goes if no language has this share of its words.
+LEAST_SHARE = 0.4
+END_ID = 2
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a recognisable language; the model learns from the labelled ones outside one of three folds."""
+    model = language.train(docs.where(crc_fold("doc_id", 3) != 1))
+    found = language.identify(docs, model, label="_lang", score="_share")
+    kept = found.where((F.col("_lang") != language.UNKNOWN) & (F.col("_share") >= LEAST_SHARE))
+    return kept.select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the smallest id."""
+    return exact_dedup.keep_first(docs).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by a similarity of 0.8 or more, the document with the smallest id."""
+    return jaccard_join.keep_one(docs).select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages of 400 bytes or more that occur anywhere else."""
+    cut = suffix_dedup.remove_repeats(docs, whole_characters=True)
+    cut = cut.withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept").cast("string")))
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.pack_texts(docs, ranks, public_tokenizers.PATTERN, END_ID)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_copies),
+    ("jaccard_join", drop_near_copies),
+    ("suffix_dedup", cut_repeats),
+    ("packing", pack),
+]
 
-# Sketches, models and byte spans are beyond SQL; tests hold the stages against brute force.
+# A trained model, sketches and byte spans are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
