@@ -16,11 +16,11 @@ def strength(groups: DataFrame, bad: str, total: str, mean: str, name: str) -> D
     n, m = F.col(total).cast("double"), F.col(mean)
     spread = m * (1 - m)
     sums = groups.where(F.col(total) > 0).agg(
-        F.sum(n * F.pow(F.col(bad) / n - m, F.lit(2.0))).alias("_seen"),
+        F.sum(n * F.pow(F.try_divide(F.col(bad), n) - m, F.lit(2.0))).alias("_seen"),
         F.sum(spread).alias("_noise"),
         F.sum(spread * (n - 1)).alias("_unit"),
     )
-    rho = F.when(F.col("_unit") > 0, (F.col("_seen") - F.col("_noise")) / F.col("_unit")).otherwise(F.lit(0.5))
+    rho = F.when(F.col("_unit") > 0, F.try_divide(F.col("_seen") - F.col("_noise"), F.col("_unit"))).otherwise(F.lit(0.5))
     rho = F.greatest(F.lit(LEAST_CORRELATION), F.least(F.lit(MOST_CORRELATION), rho))
     return sums.select((1 / rho - 1).alias(name))
 

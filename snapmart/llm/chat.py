@@ -151,17 +151,17 @@ def to_turns(
 
     ``record`` names a column of JSON text. Records without a known layout give no rows here.
     """
-    parsed = records.withColumn("_v", F.try_parse_json(F.col(record)))
-    parsed = parsed.withColumn("_f", fingerprint(shape(F.col("_v"), extra)))
+    parsed = records.withColumn("_llm_v", F.try_parse_json(F.col(record)))
+    parsed = parsed.withColumn("_llm_f", fingerprint(shape(F.col("_llm_v"), extra)))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for name, declared in layouts.items():
-        fits = F.col("_f").isin(*[fingerprint(F.lit(_declared(s))) for s in declared.shapes()])
+        fits = F.col("_llm_f").isin(*[fingerprint(F.lit(_declared(s))) for s in declared.shapes()])
         layout = F.when(fits, name).otherwise(layout)
-        turns = F.when(fits, declared.mapping(F.col("_v")).cast(TURNS)).otherwise(turns)
-    named = parsed.withColumns({"layout": layout, "_turns": turns}).drop("_v", "_f", "position", "role", "text")
+        turns = F.when(fits, declared.mapping(F.col("_llm_v")).cast(TURNS)).otherwise(turns)
+    named = parsed.withColumns({"layout": layout, "_llm_turns": turns}).drop("_llm_v", "_llm_f", "position", "role", "text")
     return named.select(
-        *[c for c in named.columns if c != "_turns"], F.posexplode("_turns").alias("position", "_turn")
-    ).select("*", F.col("_turn.role").alias("role"), F.col("_turn.text").alias("text")).drop("_turn")
+        *[c for c in named.columns if c != "_llm_turns"], F.posexplode("_llm_turns").alias("position", "_llm_turn")
+    ).select("*", F.col("_llm_turn.role").alias("role"), F.col("_llm_turn.text").alias("text")).drop("_llm_turn")
 
 
 def unknown_shapes(records: DataFrame, record: str, layouts: Mapping = LAYOUTS, extra: Sequence[str] = ()) -> DataFrame:
@@ -196,15 +196,15 @@ def format_turns(turns: DataFrame) -> DataFrame:
     """
     head = F.concat(F.lit(START), escape(F.coalesce("role", F.lit(""))), F.lit(MIDDLE))
     body = escape(F.coalesce("text", F.lit("")))
-    shown = turns.withColumns({"_head": head, "_body": body})
+    shown = turns.withColumns({"_llm_head": head, "_llm_body": body})
     masked = F.col("role").eqNullSafe(F.lit(MASKED_ROLE))
     return shown.withColumns(
         {
-            "piece": F.concat("_head", "_body", F.lit(END + "\n")),
-            "mask_start": F.char_length("_head"),
-            "mask_length": F.when(masked, F.char_length("_body")).otherwise(0),
+            "piece": F.concat("_llm_head", "_llm_body", F.lit(END + "\n")),
+            "mask_start": F.char_length("_llm_head"),
+            "mask_length": F.when(masked, F.char_length("_llm_body")).otherwise(0),
         }
-    ).drop("_head", "_body")
+    ).drop("_llm_head", "_llm_body")
 
 
 def read_turns(pieces: DataFrame) -> DataFrame:
@@ -232,14 +232,14 @@ def digest(read: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     ordered = F.sort_array(
         F.collect_list(F.struct(*order, F.col("read_role").alias("r"), F.col("read_text").alias("t"), F.col("read_loss").alias("l")))
     )
-    loss = F.array_join(F.transform("_turns", lambda x: x["l"]), "")
-    said = F.array_join(F.transform("_turns", lambda x: F.concat(x["r"], F.lit("\n"), x["t"], F.lit("\n"))), "")
+    loss = F.array_join(F.transform("_llm_turns", lambda x: x["l"]), "")
+    said = F.array_join(F.transform("_llm_turns", lambda x: F.concat(x["r"], F.lit("\n"), x["t"], F.lit("\n"))), "")
     return (
         read.groupBy(key)
-        .agg(ordered.alias("_turns"), F.sum(F.char_length("piece")).alias("formatted_chars"))
+        .agg(ordered.alias("_llm_turns"), F.sum(F.char_length("piece")).alias("formatted_chars"))
         .select(
             key,
-            F.size("_turns").cast("long").alias("n_turns"),
+            F.size("_llm_turns").cast("long").alias("n_turns"),
             F.sha2(said, 256).alias("turns_sha256"),
             F.char_length(loss).cast("long").alias("loss_chars"),
             F.sha2(loss, 256).alias("loss_sha256"),

@@ -1,4 +1,7 @@
-"""Helpers of several operators: keys of rows, bounded samples, Arrow batches in small slices."""
+"""Helpers of several operators: keys of rows, bounded samples, Arrow batches in small slices.
+
+Column names that start with ``_llm_`` are the operators' own.
+"""
 
 from collections.abc import Iterator, Sequence
 
@@ -73,6 +76,6 @@ def salted_left_join(rows: DataFrame, table: DataFrame, on: str, salts: int = 64
 
     Each value's rows are dealt over ``salts`` tasks by all their columns; ``table`` is repeated for each salt.
     """
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int"))
-    return dealt.join(copies, [on, "_salt"], "left").drop("_salt")
+    copies = table.withColumn("_llm_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = rows.withColumn("_llm_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int"))
+    return dealt.join(copies, [on, "_llm_salt"], "left").drop("_llm_salt")

@@ -167,9 +167,9 @@ def _level(rows: DataFrame, order: list[Column], limit: int, name: str) -> DataF
 
 def owners(docs: DataFrame, key: str = "doc_id", text: str = "text", fan: int = FAN, limit: int = TRIE_BYTES) -> DataFrame:
     """Per row: ``key, keep_key, group_size, kept, text_sha256, row_a, row_b``; the last two are the row's content key."""
-    made = docs.select(F.col(key).alias("key"), row_key(key, text).alias("_id"), normalized(F.col(text)).alias("norm"))
+    made = docs.select(F.col(key).alias("key"), row_key(key, text).alias("_llm_id"), normalized(F.col(text)).alias("norm"))
     made = made.select(
-        "key", F.col("_id.a").alias("row_a"), F.col("_id.b").alias("row_b"),
+        "key", F.col("_llm_id.a").alias("row_a"), F.col("_llm_id.b").alias("row_b"),
         F.octet_length("norm").alias("n"), F.xxhash64("norm").alias("h"), "norm",
     )
     narrow = materialize(made.withColumn("sha", F.sha2("norm", 256)).drop("norm"), "exact-keys")
@@ -220,7 +220,7 @@ def owners(docs: DataFrame, key: str = "doc_id", text: str = "text", fan: int =
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows whose text a row with a smaller key has; all columns stay."""
-    kept = owners(docs, key, text).where("kept").select(F.col("row_a").alias("_row_a"), F.col("row_b").alias("_row_b"))
-    keyed = docs.withColumn("_id", row_key(key, text)).withColumns({"_row_a": "_id.a", "_row_b": "_id.b"}).drop("_id")
+    kept = owners(docs, key, text).where("kept").select(F.col("row_a").alias("_llm_row_a"), F.col("row_b").alias("_llm_row_b"))
+    keyed = docs.withColumn("_llm_id", row_key(key, text)).withColumns({"_llm_row_a": "_llm_id.a", "_llm_row_b": "_llm_id.b"}).drop("_llm_id")
     # Rows that agree in key and text share a content key, of which one row is kept.
-    return keyed.join(kept, ["_row_a", "_row_b"], "left_semi").dropDuplicates(["_row_a", "_row_b"]).drop("_row_a", "_row_b")
+    return keyed.join(kept, ["_llm_row_a", "_llm_row_b"], "left_semi").dropDuplicates(["_llm_row_a", "_llm_row_b"]).drop("_llm_row_a", "_llm_row_b")

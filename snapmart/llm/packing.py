@@ -270,26 +270,26 @@ def pack(pieces: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, steps
     plan = plan_sequences(counts, capacity, steps)
 
     # Ranks within a length: by salt, as one length may hold much of the data, then offset by the salts before.
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(key, "piece"), F.lit(SALTS)).cast("int"))
-    sums = {(r[0], r[1]): r[2] for r in salted.groupBy("length", "_salt").count().collect()}  # capacity * SALTS at most
+    salted = pieces.withColumn("_llm_salt", F.pmod(F.xxhash64(key, "piece"), F.lit(SALTS)).cast("int"))
+    sums = {(r[0], r[1]): r[2] for r in salted.groupBy("length", "_llm_salt").count().collect()}  # capacity * SALTS at most
     before, base = Counter(), []
     for (size, salt), n in sorted(sums.items()):
         base.append((size, salt, before[size]))
         before[size] += n
-    base = spark.createDataFrame(base, "length bigint, _salt int, _base bigint")
-    ranks = "row_number() over (partition by length, _salt order by `{0}`, piece) - 1".format(key)
-    ranked = salted.withColumn("_row", F.expr(ranks)).join(F.broadcast(base), ["length", "_salt"])
-    ranked = ranked.withColumn("_rank", F.col("_base") + F.col("_row"))
+    base = spark.createDataFrame(base, "length bigint, _llm_salt int, _llm_base bigint")
+    ranks = "row_number() over (partition by length, _llm_salt order by `{0}`, piece) - 1".format(key)
+    ranked = salted.withColumn("_llm_row", F.expr(ranks)).join(F.broadcast(base), ["length", "_llm_salt"])
+    ranked = ranked.withColumn("_llm_rank", F.col("_llm_base") + F.col("_llm_row"))
     # A few ranges of ranks for each length: bounded by the capacity, not by the data.
     where = spark.createDataFrame(
-        slots(plan), "length bigint, _first bigint, _last bigint, _per bigint, _sequence bigint, _offset bigint"
+        slots(plan), "length bigint, _llm_first bigint, _llm_last bigint, _llm_per bigint, _llm_sequence bigint, _llm_offset bigint"
     )
-    at = F.col("_rank") - F.col("_first")
-    joined = ranked.join(F.broadcast(where), "length").where(F.col("_rank").between(F.col("_first"), F.col("_last")))
+    at = F.col("_llm_rank") - F.col("_llm_first")
+    joined = ranked.join(F.broadcast(where), "length").where(F.col("_llm_rank").between(F.col("_llm_first"), F.col("_llm_last")))
     return joined.select(
         *[c for c in pieces.columns if c not in ("sequence_id", "offset")],
-        (F.col("_sequence") + F.floor(at / F.col("_per"))).cast("long").alias("sequence_id"),
-        (F.col("_offset") + (at % F.col("_per")) * F.col("length")).cast("long").alias("offset"),
+        (F.col("_llm_sequence") + F.floor(at / F.col("_llm_per"))).cast("long").alias("sequence_id"),
+        (F.col("_llm_offset") + (at % F.col("_llm_per")) * F.col("length")).cast("long").alias("offset"),
     )
 
 

@@ -12,6 +12,7 @@ a result column are replaced. Windows are compared by 64-bit hashes within one d
 from pyspark.sql import Column, DataFrame, functions as F
 
 from snapmart.llm import beta
+from snapmart.llm.common import salted_left_join
 
 SPACE = r"[\x20\x09-\x0D]+"
 _SPACES, _SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
@@ -54,36 +55,36 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     words = F.filter(F.split(body, SPACE), lambda w: w != "")
     lines = F.filter(F.split(body, "\n"), lambda s: F.translate(s, _SPACES, "") != "")
     windows = F.when(
-        F.size("_words") >= WINDOW,
+        F.size("_llm_words") >= WINDOW,
         F.transform(
-            F.sequence(F.lit(0), F.size("_words") - WINDOW),
-            lambda i: F.xxhash64(*[F.get(F.col("_words"), i + k) for k in range(WINDOW)]),
+            F.sequence(F.lit(0), F.size("_llm_words") - WINDOW),
+            lambda i: F.xxhash64(*[F.get(F.col("_llm_words"), i + k) for k in range(WINDOW)]),
         ),
     ).otherwise(F.array().cast("array<bigint>"))
     # Most texts repeat nothing, which a set of hashes shows cheaply; only the others are sorted.
-    repeats = F.when(F.size(F.array_distinct("_windows")) < F.size("_windows"), _covered(_twice(F.col("_windows"))))
+    repeats = F.when(F.size(F.array_distinct("_llm_windows")) < F.size("_llm_windows"), _covered(_twice(F.col("_llm_windows"))))
     short = F.col("n_words") < 10
     repetitive = 100 * F.col("n_repeat_words") > 20 * F.col("n_words")
     return (
-        docs.withColumns({"_words": words, "_lines": lines})
-        .withColumn("_windows", windows)
+        docs.withColumns({"_llm_words": words, "_llm_lines": lines})
+        .withColumn("_llm_windows", windows)
         .withColumns(
             {
-                "n_words": F.size("_words").cast("long"),
+                "n_words": F.size("_llm_words").cast("long"),
                 "word_chars": (F.char_length(body) - _removed(body, _SPACES)).cast("long"),
                 "n_symbols": _removed(body, _SYMBOLS),
-                "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+                "n_dup_lines": (F.size("_llm_lines") - F.size(F.array_distinct("_llm_lines"))).cast("long"),
                 "n_repeat_words": F.coalesce(repeats, F.lit(0)).cast("long"),
             }
         )
-        .drop("_words", "_lines", "_windows")
+        .drop("_llm_words", "_llm_lines", "_llm_windows")
         .withColumn("base_failed", short | repetitive)
     )
 
 
 def host_verdicts(measured: DataFrame, host: str, z: float, threshold: float) -> DataFrame:
     """``_host, host_failed``: one row per host, counted before the shuffle."""
-    hosts = measured.groupBy(F.coalesce(F.col(host), F.lit("")).alias("_host")).agg(
+    hosts = measured.groupBy(F.coalesce(F.col(host), F.lit("")).alias("_llm_host")).agg(
         F.count(F.when(F.col("base_failed"), 1)).alias("bad"), F.count(F.lit(1)).alias("n")
     )
     overall = hosts.agg((F.sum("bad") / F.sum("n")).alias("mean"))
@@ -91,7 +92,7 @@ def host_verdicts(measured: DataFrame, host: str, z: float, threshold: float) ->
     weight = beta.strength(hosts, "bad", "n", "mean", "w")
     bound = beta.lower_bound(F.col("bad"), F.col("n"), F.col("mean"), F.col("w"), z)
     return hosts.join(F.broadcast(weight), how="left", on=F.lit(True)).select(
-        "_host", (bound >= threshold).alias("_host_failed")
+        "_llm_host", (bound >= threshold).alias("_llm_host_failed")
     )
 
 
@@ -101,5 +102,6 @@ def judge(measured: DataFrame, host: str = "source", z: float = 1.645, threshold
     ``measured`` is read twice, so let it be a stored table.
     """
     verdicts = host_verdicts(measured, host, z, threshold)
-    joined = measured.withColumn("_host", F.coalesce(F.col(host), F.lit(""))).join(verdicts, "_host", "left")
-    return joined.withColumn("kept", ~(F.col("base_failed") | F.col("_host_failed"))).drop("_host", "_host_failed")
+    keyed = measured.withColumn("_llm_host", F.coalesce(F.col(host), F.lit("")))
+    joined = salted_left_join(keyed, verdicts, "_llm_host")  # one host may have much of the table
+    return joined.withColumn("kept", ~(F.col("base_failed") | F.col("_llm_host_failed"))).drop("_llm_host", "_llm_host_failed")

@@ -156,7 +156,7 @@ def anchors(keyed: DataFrame, text: str, reach: Reach) -> DataFrame:
 
 def _contexts(firsts: DataFrame, keyed: DataFrame, text: str, reach: Reach) -> DataFrame:
     """``k, c, m, before, after``: the bytes of each different context, cut from one document that has it."""
-    lists = firsts.groupBy("at.row_a", "at.row_b").agg(F.collect_list(F.struct("k", "c", "m", "at.place")).alias("_list"))
+    lists = firsts.groupBy("at.row_a", "at.row_b").agg(F.collect_list(F.struct("k", "c", "m", "at.place")).alias("_llm_list"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,7 +174,7 @@ def _contexts(firsts: DataFrame, keyed: DataFrame, text: str, reach: Reach) -> D
                         names=["k", "c", "m", "before", "after"],
                     )
 
-    return keyed.join(lists, ["row_a", "row_b"]).select(text, "_list").mapInArrow(
+    return keyed.join(lists, ["row_a", "row_b"]).select(text, "_llm_list").mapInArrow(
         run, "k bigint, c bigint, m bigint, before binary, after binary"
     )
 
@@ -370,10 +370,11 @@ def remove_repeats(
 
     With ``whole_characters``, characters that lie in a range only in part stay, so that ``kept`` is text again.
     """
-    keyed = docs.drop("spans", "kept").withColumn("_id", row_key(key, text))
-    keyed = keyed.withColumns({"row_a": "_id.a", "row_b": "_id.b"}).drop("_id")
-    ranges = spans(keyed.select("row_a", "row_b", text), text, length, scanned)
-    joined = keyed.join(ranges, ["row_a", "row_b"], "left").drop("row_a", "row_b")
+    keyed = docs.drop("spans", "kept").withColumn("_llm_id", row_key(key, text))
+    ids = F.col("_llm_id.a").alias("row_a"), F.col("_llm_id.b").alias("row_b")
+    ranges = spans(keyed.select(*ids, text), text, length, scanned)
+    ranges = ranges.select(F.struct(F.col("row_a").alias("a"), F.col("row_b").alias("b")).alias("_llm_id"), "spans")
+    joined = keyed.join(ranges, "_llm_id", "left").drop("_llm_id")
     names = [c for c in joined.columns if c != "spans"]
     at = names.index(text)
 

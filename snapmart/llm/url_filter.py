@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from snapmart.llm import beta
+from snapmart.llm.common import salted_left_join
 
 ALLOW, BLOCK = "allow", "block"
 # Suffixes of more than one label, under which names are registered.
@@ -97,10 +98,9 @@ def judge(
     """``pages`` with ``host, path, rule, verdict``."""
     at, below = host_of(F.col(url)), path_of(F.col(url))
     judged = pages.withColumns({"host": at, "path": below})
-    judged = judged.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
-    judged = judged.withColumns({"rule": F.col("_rule.rule"), "verdict": F.col("_rule.verdict")}).drop("_rule")
-    bounds = reputation(judged.select("host", "verdict"), z).withColumnRenamed("bound", "_bound")
-    own = F.when(F.col("_bound") >= threshold, BLOCK).otherwise(ALLOW)
-    return (
-        judged.join(bounds, "host", "left").withColumn("verdict", F.coalesce("verdict", own)).drop("_bound")
-    )
+    judged = judged.withColumn("_llm_rule", rule_of(F.col("host"), F.col("path"), rules))
+    judged = judged.withColumns({"rule": F.col("_llm_rule.rule"), "verdict": F.col("_llm_rule.verdict")}).drop("_llm_rule")
+    bounds = reputation(judged.select("host", "verdict"), z).withColumnRenamed("bound", "_llm_bound")
+    own = F.when(F.col("_llm_bound") >= threshold, BLOCK).otherwise(ALLOW)
+    joined = salted_left_join(judged, bounds, "host")  # one host may have much of the table
+    return joined.withColumn("verdict", F.coalesce("verdict", own)).drop("_llm_bound")
