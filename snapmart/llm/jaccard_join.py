@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from snapmart.llm.common import row_key, salted_left_join, slices
+from snapmart.llm.common import row_key, slices
 from snapmart.session import materialize
 
 N = 5
@@ -303,8 +303,8 @@ def near_groups(
     shingles, ``n_links`` the number of other rows with a similarity of at least the threshold. ``is_first`` marks rows
     whose content key is the class's first: those that agree in key and text share it.
     """
-    keyed = docs.select(F.col(key).alias("key"), text, row_key(key, text).alias("_id"))
-    keyed = keyed.select("key", text, F.col("_id.a").alias("row_a"), F.col("_id.b").alias("row_b"))
+    keyed = docs.select(F.col(key).alias("key"), text, row_key(key, text).alias("_llm_id"))
+    keyed = keyed.select("key", text, F.col("_llm_id.a").alias("row_a"), F.col("_llm_id.b").alias("row_b"))
     rows = materialize(sketches(keyed, text), "sketches")
     worded = rows.where("n_grams > 0")
 
@@ -337,7 +337,7 @@ def near_groups(
             F.least("block", o).alias("one"), F.greatest("block", o).alias("two"), (F.col("block") > o).cast("int").alias("side")
         ),
     )
-    dealt = texts.withColumn("_p", F.explode(pair)).select("*", "_p.one", "_p.two", "_p.side").drop("_p", "block", "blocks")
+    dealt = texts.withColumn("_llm_p", F.explode(pair)).select("*", "_llm_p.one", "_llm_p.two", "_llm_p.side").drop("_llm_p", "block", "blocks")
     links = materialize(_links(dealt, threshold, tolerance), "links")
 
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
@@ -348,28 +348,29 @@ def near_groups(
     classes = classes.join(heads, "root").select(
         "set_a", "set_b", "first", "head", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
-    # A class may hold many rows: they are dealt out to meet it.
-    table = classes.withColumn("set", F.struct("set_a", "set_b")).drop("set_a", "set_b")
-    named = rows.drop("signature").withColumn("set", F.struct("set_a", "set_b"))
-    joined = salted_left_join(named, table, "set")
-    alone = F.col("n_grams") == 0
-    return joined.select(
+    # A class may hold many rows; an inner join's large partitions are split as it runs.
+    joined = worded.drop("signature").join(classes, ["set_a", "set_b"]).select(
         "key",
-        F.when(alone, F.col("key")).otherwise(F.col("head.key")).alias("class_id"),
-        F.when(alone, F.col("key")).otherwise(F.col("first.key")).alias("copy_id"),
-        F.when(alone, 0).otherwise(F.col("n_links")).cast("long").alias("n_links"),
-        (alone | ((F.col("row_a") == F.col("head.row_a")) & (F.col("row_b") == F.col("head.row_b")))).alias("is_first"),
+        F.col("head.key").alias("class_id"),
+        F.col("first.key").alias("copy_id"),
+        "n_links",
+        ((F.col("row_a") == F.col("head.row_a")) & (F.col("row_b") == F.col("head.row_b"))).alias("is_first"),
         "row_a",
         "row_b",
     )
+    alone = rows.where("n_grams = 0").select(
+        "key", F.col("key").alias("class_id"), F.col("key").alias("copy_id"), F.lit(0).cast("long").alias("n_links"),
+        F.lit(True).alias("is_first"), "row_a", "row_b",
+    )
+    return joined.unionByName(alone)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest key; all columns stay."""
     firsts = near_groups(docs, key, text, threshold).where("is_first").select(
-        F.col("row_a").alias("_row_a"), F.col("row_b").alias("_row_b")
+        F.col("row_a").alias("_llm_row_a"), F.col("row_b").alias("_llm_row_b")
     )
-    keyed = docs.withColumn("_id", row_key(key, text)).withColumns({"_row_a": "_id.a", "_row_b": "_id.b"}).drop("_id")
+    keyed = docs.withColumn("_llm_id", row_key(key, text)).withColumns({"_llm_row_a": "_llm_id.a", "_llm_row_b": "_llm_id.b"}).drop("_llm_id")
     # Rows that agree in key and text share a content key, of which one row is kept.
-    kept = keyed.join(firsts, ["_row_a", "_row_b"], "left_semi").dropDuplicates(["_row_a", "_row_b"])
-    return kept.drop("_row_a", "_row_b")
+    kept = keyed.join(firsts, ["_llm_row_a", "_llm_row_b"], "left_semi").dropDuplicates(["_llm_row_a", "_llm_row_b"])
+    return kept.drop("_llm_row_a", "_llm_row_b")
