@@ -331,7 +331,8 @@ def spans(keyed: DataFrame, text: str = "text", length: int = LENGTH, scanned: i
     """``row_a, row_b, spans``: per document with repeats, the covered byte ranges, unmerged, one per anchor."""
     reach = Reach(length)
     found = materialize(anchors(keyed, text, reach), "anchors")
-    shared = found.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
+    # Stored, so that both sides of the join are plain and the partition of a frequent anchor is split.
+    shared = materialize(found.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k"), "anchors-twice")
     again = materialize(found.join(shared, "k", "left_semi"), "anchors-shared")
     firsts = again.groupBy("k", "c").agg(
         F.count(F.lit(1)).alias("m"), F.min(F.struct("row_a", "row_b", "place")).alias("at")
