@@ -173,7 +173,8 @@ def owners(docs: DataFrame, key: str = "doc_id", text: str = "text", fan: int =
         F.octet_length("norm").alias("n"), F.xxhash64("norm").alias("h"), "norm",
     )
     narrow = materialize(made.withColumn("sha", F.sha2("norm", 256)).drop("norm"), "exact-keys")
-    shared = narrow.groupBy("n", "h").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1")
+    # Stored, so that both sides of the joins are plain and the partition of a frequent text is split.
+    shared = materialize(narrow.groupBy("n", "h").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1"), "exact-shared")
     largest = shared.agg(F.max("cnt")).first()[0] or 1
 
     salt = F.pmod(F.xxhash64("key"), F.ceil(F.col("cnt") / fan)).cast("long")
