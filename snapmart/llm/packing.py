@@ -27,7 +27,7 @@ from snapmart.session import materialize
 
 CAPACITY = 1024
 #: Steps of the search for a better plan; the best-fit solution stands when they run out.
-SEARCH_STEPS = 20_000
+SEARCH_STEPS = 4_000
 #: Tasks that rank the pieces of one length.
 SALTS = 64
 
