@@ -7,6 +7,7 @@ derivations for DuckDB.
 from pyspark.sql import DataFrame, SparkSession
 
 from snapmart import schemas as S
+from snapmart.session import new_path
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,33 @@ def raw_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The attributes as text, with names and occupations that a careless reader or writer changes."""
+    return raw_attributes(spark, sf_dir).selectExpr(
+        "Customer_ID",
+        "case cast(Customer_ID as bigint) % 6 when 0 then ' ' || Name when 1 then Name || '  '"
+        " when 2 then 'say \"hi\", ' || Name when 3 then Name || '\\n' || Name when 4 then '\\\\n' || Name || '\\\\'"
+        " else Name end as Name",
+        "Age",
+        "SSN",
+        "case when cast(Customer_ID as bigint) % 4 = 0 then '_ ' else Occupation end as Occupation",
+        "cast(snapshot_date as string) as snapshot_date",
+    )
+
+
+def named_csv_files(rows: DataFrame, file: str, folder: str) -> None:
+    """One CSV file for each value of column ``file``, called by it, all in one folder."""
+    spark = rows.sparkSession
+    parts = new_path(spark, "parts")
+    rows.repartition(file).write.partitionBy(file).csv(parts, header=True)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(path(folder))
+    for found in system.globStatus(path(f"{parts}/{file}=*/part-*")):
+        name = found.getPath().getParent().getName().removeprefix(f"{file}=")
+        system.rename(found.getPath(), path(f"{folder}/{name}.csv"))
+
+
 def raw_financials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _customers(spark, sf_dir).selectExpr(
         "cast(k as string) as Customer_ID",

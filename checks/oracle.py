@@ -1,8 +1,15 @@
 """The registered queries in DuckDB's SQL, over the same parquet tables."""
 
-from snapmart import schemas as S
-
-NUMBERS, CLICKS = S.FINANCIAL_NUMBERS, S.CLICK_FEATURES
+# Column names of the sources, stated here apart from the code under test.
+TEXT_NUMBERS = ["Annual_Income", "Num_of_Loan", "Num_of_Delayed_Payment", "Changed_Credit_Limit", "Outstanding_Debt",
+                "Amount_invested_monthly", "Monthly_Balance"]
+NUMBERS = [*TEXT_NUMBERS, "Monthly_Inhand_Salary", "Num_Bank_Accounts", "Num_Credit_Card", "Interest_Rate",
+           "Delay_from_due_date", "Num_Credit_Inquiries", "Credit_Utilization_Ratio", "Total_EMI_per_month"]
+CLICKS = [f"fe_{i}" for i in range(1, 21)]
+INPUT_NUMBERS = ["Annual_Income", "Monthly_Inhand_Salary", "Num_Bank_Accounts", "Num_Credit_Card", "Interest_Rate",
+                 "Num_of_Loan", "Delay_from_due_date", "Num_of_Delayed_Payment", "Changed_Credit_Limit",
+                 "Num_Credit_Inquiries", "Credit_Utilization_Ratio", "Credit_History_Age",
+                 *[f"fe_{i}_5m_avg" for i in range(1, 21)]]
 AVERAGES = [f"{c}_5m_avg" for c in CLICKS]
 # Columns of the cleaned financials with at most 5 % nulls.
 DENSE = [c for c in NUMBERS if c not in {"Amount_invested_monthly", "Monthly_Balance", "Total_EMI_per_month"}]
@@ -108,7 +115,7 @@ TEXT_FIXES = f"""Type_of_Loan, Credit_Mix, {HISTORY} AS Credit_History_Age,
 
 
 def _number(c: str) -> str:
-    return f"try_cast(replace({c}, '_', '') AS REAL) AS {c}" if c in S.TEXT_NUMBERS else f"{c}::REAL AS {c}"
+    return f"try_cast(replace({c}, '_', '') AS REAL) AS {c}" if c in TEXT_NUMBERS else f"{c}::REAL AS {c}"
 
 
 def _fence(c: str) -> str:
@@ -250,10 +257,11 @@ areas AS (
 DRIFT_DAY = "DATE '1998-04-01'"
 
 
-def _ks(rows: str, features: list[str]) -> str:
-    terms = "list_sum(list_transform(range(1, 41), lambda k: 2 * pow(-1, k - 1) * exp(-2 * k * k * t * t)))"
+def _ks(rows: str, features: list[str], base: str = f"snapshot_date < {DRIFT_DAY}", where: str = "true") -> str:
+    """The limit law in its other form, a theta series in 1 / t."""
+    terms = "list_sum(list_transform(range(1, 200), lambda k: exp(-(2 * k - 1) * (2 * k - 1) * pi() * pi() / (8 * t * t))))"
     return f"""
-side AS (SELECT snapshot_date < {DRIFT_DAY} AS base, {', '.join(f'{c}::DOUBLE AS {c}' for c in features)} FROM {rows}),
+side AS (SELECT {base} AS base, {', '.join(f'{c}::DOUBLE AS {c}' for c in features)} FROM {rows} WHERE {where}),
 long AS (UNPIVOT side ON {', '.join(features)} INTO NAME feature VALUE value),
 steps_ks AS (
   SELECT feature, count(*) FILTER (base) OVER (PARTITION BY feature ORDER BY value)
@@ -266,9 +274,13 @@ sized AS (SELECT *, round(n * m / (n + m)) AS size FROM ks JOIN n USING (feature
 scaled AS (SELECT *, ks * sqrt(size) + 1 / (6 * sqrt(size)) + (ks * sqrt(size) - 1) / (4 * size) AS t FROM sized),
 tested AS (
   SELECT feature, ks, n AS n_baseline, m AS n_current,
-         CASE WHEN t < 0.18 THEN 1.0 ELSE greatest(0.0, least(1.0, {terms})) END::DOUBLE AS p_value FROM scaled)
-SELECT feature, round(ks, 6) AS ks, n_baseline, n_current, round(p_value, 6) AS p_value, p_value < 0.05 AS drifted
-FROM tested"""
+         CASE WHEN t <= 0 THEN 1.0 ELSE greatest(0.0, least(1.0, 1 - sqrt(2 * pi()) / t * {terms})) END::DOUBLE AS p_value
+  FROM scaled)
+SELECT f.feature, CASE WHEN n > 0 AND m > 0 THEN round(ks, 6) END AS ks, coalesce(n, 0) AS n_baseline,
+  coalesce(m, 0) AS n_current, CASE WHEN n > 0 AND m > 0 THEN round(p_value, 6) END AS p_value,
+  CASE WHEN n > 0 AND m > 0 THEN p_value < 0.05 END AS drifted
+FROM (SELECT unnest([{', '.join(f"'{c}'" for c in features)}]) AS feature) f
+LEFT JOIN tested USING (feature) LEFT JOIN n USING (feature)"""
 
 
 def _psi(rows: str, shared: bool) -> str:
@@ -321,7 +333,7 @@ def _standardized() -> str:
             f" / CASE WHEN stddev_pop({c}::DOUBLE) OVER () = 0 THEN 1 ELSE stddev_pop({c}::DOUBLE) OVER () END"
         )
         + f" AS {c}"
-        for c in S.NUMERIC_INPUTS
+        for c in INPUT_NUMBERS
     )
 
 
@@ -344,9 +356,96 @@ UNION ALL SELECT 'Pred_Mean', round(mean, 6) FROM c
 UNION ALL SELECT 'Positive_Rate', round(rate, 6) FROM c"""
 
 
+WATCHED = ["Annual_Income", "Num_of_Loan", "Credit_History_Age", "fe_1_5m_avg", "fe_2_5m_avg", "fe_3_5m_avg"]
+
+PIT = PROFILES + "," + ROLLING + f""",
+features AS (
+  SELECT r.Customer_ID, {', '.join(f'p.{c}' for c in [*_KEPT, 'Occupation'])}, {', '.join(AVERAGES)}, r.snapshot_date
+  FROM rolling r ASOF LEFT JOIN profiles p ON r.Customer_ID = p.Customer_ID AND r.snapshot_date >= p.snapshot_date)"""
+
+
+def _parted(name: str, sizes: str, share: str) -> str:
+    """Rows per label that go to the first side of a split, by largest remainder, and those that are left."""
+    return f"""
+{name}_shares AS (
+  SELECT label, n, (SELECT sum(n) - ceil(sum(n) * (1 - {share}) - 1e-9) FROM {sizes})::BIGINT AS wanted,
+         n / (SELECT sum(n) FROM {sizes}) * (SELECT sum(n) - ceil(sum(n) * (1 - {share}) - 1e-9) FROM {sizes}) AS share
+  FROM {sizes}),
+{name} AS (
+  SELECT label, floor(share)::BIGINT + CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, label)
+           <= wanted - (SELECT sum(floor(share)) FROM {name}_shares) THEN 1 ELSE 0 END AS taken, n
+  FROM {name}_shares),
+{name}_rest AS (SELECT label, n - taken AS n FROM {name})"""
+
+
+_FOLDS = LABELS + """,
+all_sizes AS (SELECT label, count(*) AS n FROM labels_90 GROUP BY label),""" + _parted("f0", "all_sizes", "1 / 3::DOUBLE") + "," + _parted(
+    "f1", "f0_rest", "0.5::DOUBLE"
+)
+
+_IN_TIME = FRAME + """,
+in_time AS (SELECT * FROM frame WHERE snapshot_date < DATE '1999-01-01'),""" + SPLIT.format(rows="in_time") + """,
+sides AS (
+  SELECT split, label FROM split_rows
+  UNION ALL SELECT 'oot', label FROM frame WHERE snapshot_date >= DATE '1999-01-01'),
+side_stats AS (SELECT split, count(*)::DOUBLE AS n, round(avg(label), 2) AS rate FROM sides GROUP BY split)"""
+
+ODD = ATTRIBUTES + """,
+odd AS (
+  SELECT Customer_ID, CASE Customer_ID::BIGINT % 6 WHEN 0 THEN ' ' || Name WHEN 1 THEN Name || '  '
+      WHEN 2 THEN 'say "hi", ' || Name WHEN 3 THEN Name || chr(10) || Name WHEN 4 THEN '\\n' || Name || '\\'
+      ELSE Name END AS Name, Age, SSN,
+    CASE WHEN Customer_ID::BIGINT % 4 = 0 THEN '_ ' ELSE Occupation END AS Occupation, snapshot_date
+  FROM raw_attr)"""
+
+
 def oracle_sql() -> dict[str, str]:
     w = "WITH "
     return {
+        "q_bronze_text": w + ODD + " SELECT * FROM odd",
+        "q_quarantine": w + ATTRIBUTES + """
+SELECT CASE WHEN Customer_ID::BIGINT % 33 = 0 THEN 'fields' ELSE 'date' END AS reason,
+  CASE WHEN Customer_ID::BIGINT % 20 = 0 THEN 'soon' ELSE snapshot_date::VARCHAR END AS snapshot_date, count(*) AS rows
+FROM raw_attr WHERE Customer_ID::BIGINT % 33 = 0 OR Customer_ID::BIGINT % 20 = 0 GROUP BY 1, 2""",
+        "q_bronze_drift": w + ATTRIBUTES + """
+SELECT Customer_ID, Name, Age, SSN, CASE WHEN Customer_ID::BIGINT % 2 = 1 THEN Occupation END AS Occupation, snapshot_date,
+  CASE WHEN Customer_ID::BIGINT % 2 = 0 THEN 'n ' || Customer_ID END AS Note FROM raw_attr""",
+        "q_dated_files": w + ATTRIBUTES + """
+SELECT snapshot_date::VARCHAR AS file, count(*) AS rows, max(Name) AS last_name FROM raw_attr GROUP BY 1
+UNION ALL SELECT 'notes.csv', count(*), NULL FROM raw_attr WHERE Age LIKE '%_'""",
+        "q_snapshot_scan": w + LABELS + " SELECT * FROM labels_90 WHERE snapshot_date = DATE '1998-06-01'",
+        "q_feature_rebuild": w + FEATURES
+        + f" SELECT Customer_ID, {', '.join(_KEPT)}, {_averages()}, snapshot_date FROM features"
+        f" WHERE snapshot_date < {DRIFT_DAY}",
+        "q_feature_store_pit": w + PIT + f" SELECT {_FEATURE_COLUMNS} FROM features",
+        "q_fold_stats": w + _FOLDS + """
+SELECT 0 AS fold, label, taken::BIGINT AS rows FROM f0 WHERE taken > 0
+UNION ALL SELECT 1, label, taken::BIGINT FROM f1 WHERE taken > 0
+UNION ALL SELECT 2, label, n::BIGINT FROM f1_rest WHERE n > 0""",
+        "q_train_score": w + _COMPLETE_FEATURES + """
+SELECT Customer_ID, snapshot_date, 'gbt_credit_model_1999_03_01' AS model_name, true AS in_range, true AS agrees
+FROM complete_features""",
+        "q_registry": w + _IN_TIME + """,
+entries(field, day, value) AS (
+  VALUES ('model_train_date', DATE '1999-03-01', NULL::DOUBLE), ('oot_start_date', DATE '1999-01-01', NULL),
+    ('oot_end_date', DATE '1999-02-28', NULL), ('train_test_start_date', DATE '1998-01-01', NULL),
+    ('train_test_end_date', DATE '1998-12-31', NULL), ('train_test_period_months', NULL, 12), ('oot_period_months', NULL, 2),
+    ('train_test_ratio', NULL, 0.8)
+  UNION ALL SELECT 'rows_' || split, NULL, n FROM side_stats
+  UNION ALL SELECT 'positive_rate_' || split, NULL, rate FROM side_stats)
+SELECT 'credit_model_1999_03_01' AS model_version, * FROM entries""",
+        "q_iqr_approx": w + CUSTOMERS + "," + FINANCIALS + ",counted AS (SELECT snapshot_date, "
+        + ", ".join(f"count({c}) AS {c}" for c in NUMBERS) + " FROM numbers GROUP BY 1),"
+        + f" tall AS (UNPIVOT counted ON {', '.join(NUMBERS)} INTO NAME col VALUE n)"
+        + " SELECT snapshot_date, col AS \"column\", p AS probability, true AS near FROM tall,"
+        " (VALUES (0.25::DOUBLE), (0.75::DOUBLE)) t(p) WHERE n > 0",
+        "q_ks_snapshots": w + SCORED + "," + FEATURES + """,
+monitored AS (
+  SELECT f.* FROM predictions JOIN features f USING (Customer_ID, snapshot_date)
+  JOIN labels_90 USING (Customer_ID, snapshot_date)),""" + _ks(
+            "monitored", WATCHED, "snapshot_date = DATE '1998-11-01'",
+            "snapshot_date IN (DATE '1998-11-01', DATE '1998-12-01')",
+        ),
         "q_performance_report": _METRICS,
         "q_snapshot_list": w + LMS + " SELECT DISTINCT snapshot_date::VARCHAR AS snapshot_date FROM lms ORDER BY 1",
         "q_snapshot_filter": w + LOANS + " SELECT * FROM loans WHERE snapshot_date = DATE '1998-06-01'",
@@ -418,7 +517,7 @@ FROM labels_90 WHERE snapshot_date BETWEEN DATE '1998-01-01' AND DATE '1999-02-2
         + ", ".join(
             f"(coalesce({c}, '') = '{v}')::INTEGER AS {c}_{v}" for c, levels in _ONE_HOT.items() for v in levels
         )
-        + " FROM profiles",
+        + ", (Outstanding_Debt > 2500)::INTEGER AS indebted FROM profiles",
         "q_standardize": w + _COMPLETE_FEATURES
         + f" SELECT Customer_ID, snapshot_date, {_standardized()} FROM complete_features",
         "q_pred_labels": w + SCORED + " SELECT * FROM scored WHERE model_name = 'gbt_a'",
@@ -438,10 +537,7 @@ SELECT snapshot_date, round(avg(abs(label - model_predictions)), 10) AS predicti
 WHERE model_name = 'gbt_a' GROUP BY 1""",
         "q_prediction_error": w + SCORED
         + " SELECT *, round(abs(label - model_predictions), 6) AS prediction_error FROM scored",
-        "q_ks": w + FEATURES + "," + _ks(
-            "features",
-            ["Annual_Income", "Num_of_Loan", "Credit_History_Age", "fe_1_5m_avg", "fe_2_5m_avg", "fe_3_5m_avg"],
-        ),
+        "q_ks": w + FEATURES + "," + _ks("features", WATCHED),
         "q_psi_independent": w + PREDICTIONS + "," + _psi("predictions", shared=False),
         "q_psi_shared": w + PREDICTIONS + "," + _psi("predictions", shared=True),
         "q_prediction_tables": w + PREDICTIONS + " SELECT * FROM predictions",

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as X
 from snapmart import schemas as S
-from snapmart.operators import clean, dataset, features, loans, model, monitor, profile
+from snapmart.operators import clean, dataset, features, loans, model, monitor, profile, quantiles
 from snapmart.plans import etl, monitoring, training
 from snapmart.plans.layout import Mart
 from snapmart.session import materialize, new_path
@@ -129,8 +129,19 @@ def q_iqr_clean(spark, sf):
 
 
 def q_iqr_approx(spark, sf):
-    rows = clean.clean_numeric(X.raw_financials(spark, sf), S.FINANCIAL_NUMBERS, method="approx")
-    return rows.select(S.ENTITY, S.SNAPSHOT, *S.FINANCIAL_NUMBERS)
+    """Whether each approximate quartile is a value whose rank is off by at most 1 %."""
+    typed = clean.numbers_from_text(X.raw_financials(spark, sf), S.FINANCIAL_NUMBERS)
+    numbers = materialize(typed.select(S.SNAPSHOT, *S.FINANCIAL_NUMBERS), "numbers")
+    found = quantiles.approximate_quantiles(numbers, [S.SNAPSHOT], S.FINANCIAL_NUMBERS, [0.25, 0.75])
+    doubles = numbers.select(S.SNAPSHOT, *[F.col(c).cast("double").alias(c) for c in S.FINANCIAL_NUMBERS])
+    values = doubles.unpivot([S.SNAPSHOT], S.FINANCIAL_NUMBERS, "column", "v").filter("v is not null")
+    ranked = values.join(found, [S.SNAPSHOT, "column"]).groupBy(S.SNAPSHOT, "column", "probability").agg(
+        F.count("*").alias("n"), F.count_if(F.col("v") < F.col("value")).alias("below"),
+        F.count_if(F.col("v") <= F.col("value")).alias("upto"),
+    )
+    rank, slack = F.ceil(F.col("probability") * F.col("n")), 0.01 * F.col("n")
+    near = (F.col("below") + 1 <= rank + slack) & (F.col("upto") >= rank - slack) & (F.col("upto") > F.col("below"))
+    return ranked.select(S.SNAPSHOT, "column", "probability", near.alias("near"))
 
 
 def q_silver_fin(spark, sf):
@@ -209,15 +220,80 @@ def q_feature_store(spark, sf):
     return _rounded(feature_rows(spark, sf), AVERAGES)
 
 
+def q_feature_store_pit(spark, sf):
+    """With the latest profile up to each click's date, instead of all."""
+    rows = features.feature_store(
+        silver_financials(spark, sf), silver_attributes(spark, sf), X.raw_clicks(spark, sf), point_in_time=True
+    )
+    return _rounded(rows, AVERAGES)
+
+
 # Layered tables on disk
 
 
 def _raw_csv(df: DataFrame, name: str) -> str:
+    """A raw file as plain lines of text, with every value quoted: one file, as sources deliver it."""
     path = new_path(df.sparkSession, name)
-    df.write.csv(path, header=True)
+    quoted = [
+        F.coalesce(F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"')), F.lit(""))
+        for c in df.columns
+    ]
+    _write_lines(df.select(F.concat_ws(",", *quoted).alias("line")), ",".join(df.columns), path)
     return path
 
 
+def _write_lines(lines: DataFrame, header: str, path: str) -> None:
+    first = lines.sparkSession.range(1).select(F.lit(header).alias("line"), F.lit(0).alias("place"))
+    both = first.unionByName(lines.withColumn("place", F.lit(1))).coalesce(1)
+    both.sortWithinPartitions("place").select("line").write.text(path)
+
+
+def q_bronze_text(spark, sf):
+    """Spaces, quotes, commas, line breaks and near misses of tokens come back as they were."""
+    mart = Mart(new_path(spark, "mart"))
+    path = _raw_csv(X.odd_attributes(spark, sf), "attributes")
+    etl.build_bronze(spark, {"attributes": path}, mart, multi_line=True)
+    return etl.read_bronze(spark, mart, "attributes")
+
+
+def q_quarantine(spark, sf):
+    """Rows whose date is none, and lines with a field too many, counted."""
+    mart = Mart(new_path(spark, "mart"))
+    rows = X.raw_attributes(spark, sf)
+    day = F.when(F.col("Customer_ID").cast("long") % 20 == 0, "soon").otherwise(F.col(S.SNAPSHOT).cast("string"))
+    more = F.when(F.col("Customer_ID").cast("long") % 33 == 0, F.concat(day, F.lit(",more"))).otherwise(day)
+    path = new_path(spark, "attributes")
+    values = [F.coalesce(c, F.lit("")) for c in S.RAW_COLUMNS["attributes"][:-1]]
+    lines = rows.select(F.concat_ws(",", *values, more).alias("line"))
+    _write_lines(lines, ",".join(S.RAW_COLUMNS["attributes"]), path)
+    etl.build_bronze(spark, {"attributes": path}, mart)
+    return snapshots.quarantine_counts(spark.read.parquet(mart.quarantine("attributes")))
+
+
+def q_bronze_drift(spark, sf):
+    """One source file lacks a column and has another; both are read together."""
+    mart, rows = Mart(new_path(spark, "mart")), X.raw_attributes(spark, sf)
+    even = F.col("Customer_ID").cast("long") % 2 == 0
+    first = rows.filter(even).drop("Occupation").withColumn("Note", F.concat(F.lit("n "), "Customer_ID"))
+    etl.build_bronze(spark, {"attributes": [_raw_csv(first, "first"), _raw_csv(rows.filter(~even), "second")]}, mart)
+    stored = snapshots.read_split(spark, mart.bronze("attributes"), S.RAW_COLUMNS["attributes"])
+    return snapshots.extra_column(stored, "Note").drop(snapshots.EXTRA)
+
+
+def q_dated_files(spark, sf):
+    """Bronze from files dated by name; a file without a date is listed with its rows."""
+    mart, folder = Mart(new_path(spark, "mart")), new_path(spark, "files")
+    rows = X.raw_attributes(spark, sf).withColumn("file", F.date_format(S.SNAPSHOT, "'attributes_'yyyy_MM_dd")).drop(S.SNAPSHOT)
+    X.named_csv_files(rows, "file", folder)
+    X.named_csv_files(rows.filter("Age like '%_'").withColumn("file", F.lit("notes")), "file", folder)
+    etl.build_bronze_from_dated_files(spark, "attributes", folder, mart)
+    found = etl.read_bronze(spark, mart, "attributes").groupBy(F.col(S.SNAPSHOT).cast("string").alias("file")).agg(
+        F.count("*").alias("rows"), F.max("Name").alias("last_name")
+    )
+    undated = spark.read.parquet(mart.quarantine("attributes_files"))
+    return found.unionByName(undated.select(F.col("file_name").alias("file"), "rows", F.lit(None).cast("string").alias("last_name")))
+
+
 def q_bronze_tables(spark, sf):
     mart = Mart(new_path(spark, "mart"))
     etl.build_bronze(spark, {"attributes": _raw_csv(X.raw_attributes(spark, sf), "attributes")}, mart)
@@ -232,6 +308,23 @@ def q_snapshot_rerun(spark, sf):
     return snapshots.read_table(spark, path)
 
 
+def q_snapshot_scan(spark, sf):
+    """One snapshot of a stored table."""
+    path = new_path(spark, "labels")
+    snapshots.write_snapshots(labels(spark, sf), path)
+    return snapshots.at_snapshot(snapshots.read_table(spark, path), date(1998, 6, 1))
+
+
+def q_feature_rebuild(spark, sf):
+    """The feature store written again with fewer dates and one more column pruned: nothing of the first remains."""
+    path = new_path(spark, "features")
+    rows = materialize(feature_rows(spark, sf), "features")
+    snapshots.write_snapshots(rows, path, whole_table=True)
+    fewer = rows.filter(F.col(S.SNAPSHOT) < F.lit(SPLIT_DAY)).drop("Occupation")
+    snapshots.write_snapshots(fewer, path, whole_table=True)
+    return _rounded(snapshots.read_table(spark, path), AVERAGES)
+
+
 def q_etl_features(spark, sf):
     """Raw CSV text through bronze, silver and gold."""
     mart = Mart(new_path(spark, "mart"))
@@ -272,42 +365,64 @@ def q_split_stats(spark, sf):
 
 
 def q_one_hot(spark, sf):
-    profiles = materialize(q_fin_attr(spark, sf), "profiles")
+    """Indicators and a flag, from the vector that the model's saved stages make."""
+    profiles = materialize(q_fin_attr(spark, sf).withColumn("indebted", F.col("Outstanding_Debt") > 2500), "profiles")
     fitted = dataset.fit_preprocessor(profiles, numeric=[])
-    return fitted.transform(profiles).select(S.ENTITY, *fitted.indicator_columns())
+    made = fitted.input_columns(profiles)
+    return made.select(S.ENTITY, *[F.col(c).cast("int").alias(c) for c in fitted.names])
 
 
 def q_standardize(spark, sf):
     rows = materialize(feature_rows(spark, sf).na.drop("any"), "complete-features")
-    scaled = dataset.fit_preprocessor(rows, categorical=[]).transform(rows)
-    return _rounded(scaled.select(S.ENTITY, S.SNAPSHOT, *S.NUMERIC_INPUTS), S.NUMERIC_INPUTS)
+    fitted = dataset.fit_preprocessor(rows, categorical=[])
+    return _rounded(fitted.input_columns(rows).select(S.ENTITY, S.SNAPSHOT, *S.NUMERIC_INPUTS), S.NUMERIC_INPUTS)
+
+
+def q_fold_stats(spark, sf):
+    """Rows per fold and label of the search's folds."""
+    return dataset.stratified_folds(labels(spark, sf), 3).groupBy("fold", "label").agg(F.count("*").alias("rows"))
 
 
 # Model
 
 
+# One setting of the search space.
+SETTING = {"maxIter": 25, "maxDepth": 3, "stepSize": 0.1}
+
+
 def _split(spark, sf) -> DataFrame:
     return materialize(training.split_frame(labels(spark, sf), feature_rows(spark, sf), WINDOW), "split-frame")
 
 
 def q_train_score(spark, sf):
-    """One setting of the search space, fitted on the train split; all snapshots of the features scored."""
+    """A model fitted on the train split, saved and loaded; all snapshots scored by both."""
     rows, everything = _split(spark, sf), materialize(feature_rows(spark, sf), "features")
     train = rows.filter("split = 'train'")
-    fitted = model.fit(train, dataset.fit_preprocessor(train), maxIter=25, maxDepth=3, stepSize=0.1)
+    fitted = model.fit(train, dataset.fit_preprocessor(train), **SETTING)
     path = new_path(spark, "model")
     model.save_model(fitted, path)
-    days = [r[0] for r in everything.select(S.SNAPSHOT).distinct().collect()]
-    return model.score_snapshots(model.load_model(path), everything, days, "gbt_credit_model_1999_03_01")
+    days, name = [r[0] for r in everything.select(S.SNAPSHOT).distinct().collect()], "gbt_credit_model_1999_03_01"
+    scored = model.score_snapshots(model.load_model(path), everything, days, name)
+    own = model.score_snapshots(fitted, everything, days, name).withColumnRenamed("model_predictions", "own")
+    both = scored.join(own, [S.ENTITY, S.SNAPSHOT, "model_name"])
+    return both.select(
+        S.ENTITY, S.SNAPSHOT, "model_name", F.col("model_predictions").between(0.0, 1.0).alias("in_range"),
+        (F.col("model_predictions") == F.col("own")).alias("agrees"),
+    )
 
 
-def q_random_search(spark, sf):
-    """Registry row of a small random search; the library's default is 100 draws."""
-    space = {**model.SEARCH_SPACE, "maxIter": [5]}
-    _, record, _ = training.train(
-        labels(spark, sf), feature_rows(spark, sf), WINDOW, draws=2, folds=3, space=space
+def q_registry(spark, sf):
+    """The dates, window lengths, sizes and rates of a registry record, one row each."""
+    rows = _split(spark, sf)
+    train = rows.filter("split = 'train'")
+    scored = model.with_probability(model.fit(train, dataset.fit_preprocessor(train), **SETTING), rows)
+    area = monitor.auc_and_gini(scored, "model_predictions", "label", ["split"])
+    record = model.registry_record(spark, "gbt", WINDOW, dataset.split_statistics(rows), area, SETTING)
+    numbers = F.map_concat("data_config", "data_stats")
+    days = record.select("model_version", F.explode("data_dates").alias("field", "day")).withColumn("value", F.lit(None).cast("double"))
+    return days.unionByName(
+        record.select("model_version", F.explode(numbers).alias("field", "value")), allowMissingColumns=True
     )
-    return record
 
 
 # Monitoring
@@ -361,13 +476,11 @@ def _before_and_after():
 
 def q_ks(spark, sf):
     rows = feature_rows(spark, sf)
-    return _rounded(
-        monitor.ks_drift(rows, monitoring.WATCHED, *_before_and_after(), p_value="asymptotic"), ["ks", "p_value"], 6
-    )
+    return _rounded(monitor.ks_drift(rows, monitoring.WATCHED, *_before_and_after()), ["ks", "p_value"], 6)
 
 
 def q_ks_snapshots(spark, sf):
-    """Two snapshots of the monitoring frame against each other, with exact p-values."""
+    """Two snapshots of the monitoring frame against each other."""
     merged = monitor.monitoring_frame(X.predictions(spark, sf), feature_rows(spark, sf), labels(spark, sf))
     then, now = (F.col(S.SNAPSHOT) == F.lit(d) for d in (date(1998, 11, 1), date(1998, 12, 1)))
     return _rounded(monitor.ks_drift(merged, monitoring.WATCHED, then, now), ["ks", "p_value"], 6)

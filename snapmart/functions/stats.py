@@ -4,9 +4,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
-# Largest sample size for which a two-sample p-value is computed exactly.
-EXACT_SAMPLE = 10_000
-
 
 def histogram_bin(value: Column, low: Column, high: Column, bins: int) -> Column:
     """Index of the equal-width bin of ``value`` in [low, high], the last bin closed on both sides.
@@ -32,7 +29,7 @@ def kolmogorov_p(statistic: Column, n: Column, m: Column, terms: int = 40) -> Co
     J. Vrbik, "Small-sample corrections to Kolmogorov-Smirnov test statistic" (2018).
     """
     n, m = n.cast("double"), m.cast("double")
-    size = F.round(n * m / (n + m))
+    size = F.nullif(F.round(F.try_divide(n * m, n + m)), F.lit(0.0))
     z = statistic * F.sqrt(size)
     corrected = z + 1 / (6 * F.sqrt(size)) + (z - 1) / (4 * size)
     series = F.aggregate(
@@ -42,7 +39,7 @@ def kolmogorov_p(statistic: Column, n: Column, m: Column, terms: int = 40) -> Co
     )
     # Below this the series needs more terms, and the p-value is 1 to more than 15 digits.
     p = F.when(corrected < 0.18, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), series)))
-    return F.when((size > 0) & statistic.isNotNull(), p)
+    return F.when(size.isNotNull() & statistic.isNotNull(), p)
 
 
 def _chance_of_staying_below(statistic: float, n: int, m: int) -> float:

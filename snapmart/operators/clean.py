@@ -68,7 +68,7 @@ def drop_outliers(
 
 def clean_numeric(df: DataFrame, columns: list[str], by=(SNAPSHOT,), method: str = "exact") -> DataFrame:
     """Underscores removed, cast to float, outliers per group emptied: all columns together."""
-    return drop_outliers(numbers_from_text(df, columns), columns, by, method)
+    return drop_outliers(materialize(numbers_from_text(df, columns), "typed-numbers"), columns, by, method)
 
 
 def normalize_financial_texts(df: DataFrame) -> DataFrame:
@@ -99,7 +99,8 @@ def drop_financial_outliers(typed: DataFrame, method: str = "exact") -> DataFram
 
 
 def clean_financials(raw: DataFrame, method: str = "exact") -> DataFrame:
-    return drop_financial_outliers(type_financials(raw), method)
+    """Typed once and stored, as the outlier search reads its input several times."""
+    return drop_financial_outliers(materialize(type_financials(raw), "typed-financials"), method)
 
 
 def underscores_to_null(df: DataFrame) -> DataFrame:

@@ -3,10 +3,12 @@
 import calendar
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import reduce
 
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from snapmart.operators.clean import underscores_to_null
 from snapmart.schemas import CATEGORICAL_INPUTS, ENTITY, NUMERIC_INPUTS, SNAPSHOT
 from snapmart.sources.snapshots import between_snapshots
 
@@ -114,7 +116,8 @@ def _train_quotas(sizes: DataFrame, label: str, train_share: float) -> DataFrame
     """Train rows per label: proportional shares rounded down, the rest to the largest remainders."""
     everything = Window.partitionBy(F.lit(0))
     total = F.sum("rows").over(everything)
-    wanted = total - F.ceil(total * F.lit(1 - train_share))
+    # A product that is whole but for rounding is not rounded up.
+    wanted = total - F.ceil(total * F.lit(1 - train_share) - F.lit(1e-9))
     shares = sizes.select(label, "rows", wanted.alias("wanted"), (F.col("rows") / total * wanted).alias("share"))
     remainder = F.col("share") - F.floor("share")
     place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(remainder.desc(), label))
@@ -127,73 +130,101 @@ def split_statistics(df: DataFrame, split: str = "split", label: str = "label")
     return df.groupBy(split).agg(F.count("*").alias("rows"), F.round(F.avg(label), 2).alias("positive_rate"))
 
 
-@dataclass(frozen=True)
-class Preprocessor:
-    """Fitted preprocessing: indicator columns for known levels, standardised numbers."""
+def stratified_folds(
+    df: DataFrame, folds: int, label: str = "label", keys=("loan_id", ENTITY, SNAPSHOT), seed: int = 42
+) -> DataFrame:
+    """Adds ``fold``, 0 to ``folds - 1``, of equal sizes and with the label's distribution kept in each.
+
+    Folds are split off one after another: of those still to make, the first gets its share of each label.
+    """
+    parts, rest = [], df
+    for fold in range(folds - 1):
+        halves = stratified_split(rest, label, keys, 1 / (folds - fold), seed + fold)
+        parts.append(halves.filter("split = 'train'").drop("split").withColumn("fold", F.lit(fold)))
+        rest = halves.filter("split = 'test'").drop("split")
+    parts.append(rest.withColumn("fold", F.lit(folds - 1)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def model_inputs(df: DataFrame) -> tuple[list[str], list[str], list[str]]:
+    """The categories, numbers and flags among the columns of ``df`` that a model reads.
+
+    Flags are the boolean columns; every other column beside the declared inputs is left out.
+    """
+    kinds = dict(df.dtypes)
+    return (
+        [c for c in CATEGORICAL_INPUTS if c in kinds],
+        [c for c in NUMERIC_INPUTS if c in kinds],
+        [c for c, kind in df.dtypes if kind == "boolean"],
+    )
 
-    levels: dict[str, list[str]]
-    means: dict[str, float]
-    scales: dict[str, float]
 
-    def indicator_columns(self) -> dict[str, Column]:
-        return {
-            f"{c}_{level}": F.coalesce(F.col(c) == level, F.lit(False)).cast("int")
-            for c, levels in self.levels.items()
-            for level in levels
-        }
+@dataclass(frozen=True)
+class Preprocessor:
+    """Fitted preprocessing as stages of Spark ML, which are saved with the model; ``names`` has the inputs in order.
 
-    def scaled_columns(self) -> dict[str, Column]:
-        return {c: (F.col(c).cast("double") - F.lit(m)) / F.lit(self.scales[c]) for c, m in self.means.items()}
+    Numbers are standardised, flags are 0 and 1, categories become one indicator per known level.
+    """
 
-    def input_columns(self) -> list[str]:
-        return [*self.means, *self.indicator_columns()]
+    stages: list
+    names: list[str]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Numbers replaced by standardised ones, categories by indicators, booleans by 0 and 1."""
-        flags = {name for name, kind in df.dtypes if kind == "boolean"}
-        scaled, indicators = self.scaled_columns(), self.indicator_columns()
-        kept = [
-            scaled[c].alias(c) if c in scaled else F.col(c).cast("int").alias(c) if c in flags else F.col(c)
-            for c in df.columns
-            if c not in self.levels
-        ]
-        return df.select(*kept, *[e.alias(name) for name, e in indicators.items()])
+        """``df`` with the columns that the stages make, among them the vector ``inputs``."""
+        for stage in self.stages:
+            df = stage.transform(df)
+        return df
+
+    def input_columns(self, df: DataFrame) -> DataFrame:
+        """``df`` with one column for each entry of the vector of inputs."""
+        vector = vector_to_array("inputs")
+        made = self.transform(df).withColumn("inputs", vector)
+        return made.select(
+            *[c for c in df.columns if c not in self.names], *[F.col("inputs")[i].alias(c) for i, c in enumerate(self.names)]
+        )
 
 
 def fit_preprocessor(
-    df: DataFrame,
-    categorical: list[str] = CATEGORICAL_INPUTS,
-    numeric: list[str] = NUMERIC_INPUTS,
-    max_levels: int = 10_000,
+    df: DataFrame, categorical: list[str] | None = None, numeric: list[str] | None = None, flags: list[str] | None = None
 ) -> Preprocessor:
-    """Levels of the categories, means and population deviations of the numbers, from two aggregations.
+    """Levels of the categories in alphabetical order, means and population deviations of the numbers.
 
     Fit on the train split and use the result for every other frame; fitting on each frame apart gives
-    per-frame scaling. A lone ``_`` counts as missing. A constant column is only centred.
+    per-frame scaling. A lone ``_`` counts as missing; missing and unknown levels have no indicator. A constant column
+    is only centred. Inputs that are not named are those of ``model_inputs``.
     """
-    levels = _levels(df, categorical, max_levels)
+    found = model_inputs(df)
+    categorical, numeric, flags = (f if given is None else given for f, given in zip(found, (categorical, numeric, flags)))
     moments = df.agg(
         F.count("*"),
         *[F.avg(F.col(c).cast("double")).alias(f"{c}_mean") for c in numeric],
         *[F.stddev_pop(F.col(c).cast("double")).alias(f"{c}_scale") for c in numeric],
     ).first()
-    means = {c: moments[f"{c}_mean"] for c in numeric}
-    if None in means.values():
-        raise ValueError(f"no values in {[c for c, m in means.items() if m is None]}")
-    return Preprocessor(levels, means, {c: moments[f"{c}_scale"] or 1.0 for c in numeric})
-
-
-def _levels(df: DataFrame, categorical: list[str], max_levels: int) -> dict[str, list[str]]:
-    if not categorical:
-        return {}
-    found = (
-        underscores_to_null(df.select(*[F.col(c).cast("string").alias(c) for c in categorical]))
-        .unpivot([], categorical, "column", "level")
-        .filter(F.col("level").isNotNull())
-        .distinct()
-        .limit(max_levels + 1)
-        .collect()
-    )
-    if len(found) > max_levels:
-        raise ValueError(f"more than {max_levels} category levels: not categorical columns")
-    return {c: sorted(r["level"] for r in found if r["column"] == c) for c in categorical}
+    if empty := [c for c in numeric if moments[f"{c}_mean"] is None]:
+        raise ValueError(f"no values in {empty}")
+    made = [
+        f"(CAST(`{c}` AS DOUBLE) - ({moments[f'{c}_mean']!r}D)) / {moments[f'{c}_scale'] or 1.0!r}D AS `in_{i}`"
+        for i, c in enumerate(numeric)
+    ]
+    made += [f"CAST(`{c}` AS INT) AS `in_{len(numeric) + i}`" for i, c in enumerate(flags)]
+    made += [f"nullif(CAST(`{c}` AS STRING), '_') AS `level_{i}`" for i, c in enumerate(categorical)]
+    stages = [SQLTransformer(statement=f"SELECT *, {', '.join(made)} FROM __THIS__")] if made else []
+    names, inputs = [*numeric, *flags], [f"in_{i}" for i in range(len(numeric) + len(flags))]
+    if categorical:
+        texts = stages[0].transform(df)
+        numbered = [f"number_{i}" for i in range(len(categorical))]
+        indexer = StringIndexer(
+            inputCols=[f"level_{i}" for i in range(len(categorical))], outputCols=numbered,
+            stringOrderType="alphabetAsc", handleInvalid="keep",
+        ).fit(texts)
+        # A column without any level has no indicator.
+        some = [i for i, levels in enumerate(indexer.labelsArray) if levels]
+        hot = [f"hot_{i}" for i in some]
+        stages.append(indexer)
+        if some:
+            # The number behind the last level stands for missing and unknown ones, and is dropped.
+            stages.append(OneHotEncoder(inputCols=[numbered[i] for i in some], outputCols=hot).fit(indexer.transform(texts)))
+        names += [f"{categorical[i]}_{level}" for i in some for level in indexer.labelsArray[i]]
+        inputs += hot
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="inputs"))
+    return Preprocessor(stages, names)

@@ -1,71 +1,32 @@
 """Feature store: rolling click averages joined with customer profiles."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from snapmart.operators.clean import drop_sparse_columns
 from snapmart.schemas import CLICK_FEATURES, ENTITY, SNAPSHOT
-
-
-def hot_keys(df: DataFrame, key: str, most: int = 10_000, floor: int = 100_000) -> list:
-    """The ``most`` largest keys among those with more than ``floor`` rows; it reads the key column only.
-
-    Any other key holds at most ``1/most`` of all rows, or ``floor`` rows.
-    """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
-    largest = counts.filter(F.col("rows") > floor).orderBy(F.desc("rows"), key).limit(most)
-    return [r[key] for r in largest.collect()]
+from snapmart.session import materialize
 
 
 def rolling_month_average(
-    clicks: DataFrame,
-    features: list[str] = CLICK_FEATURES,
-    months: int = 5,
-    entity: str = ENTITY,
-    hot: list | None = None,
+    clicks: DataFrame, features: list[str] = CLICK_FEATURES, months: int = 5, entity: str = ENTITY
 ) -> DataFrame:
     """Mean of each feature over the current and ``months - 1`` preceding calendar months, one row per key.
 
-    Missing months are simply absent; every raw row counts alike, also where a key has several. One shuffle by
-    entity serves the window and later joins on it. Entities with very many rows (``hot``, measured if not
-    given) are first summed per date, and then have at most one row per calendar date in the window.
+    Missing months are simply absent; every raw row counts alike, also where a key has several. Rows are summed per
+    key before they are shuffled, so that the window holds at most one row per date of an entity.
     """
     keyed = clicks.filter(F.col(entity).isNotNull() & F.col(SNAPSHOT).isNotNull())
-    keyed = keyed.select(entity, SNAPSHOT, *[F.col(c).cast("double").alias(c) for c in features])
-    if hot is None:
-        hot = hot_keys(keyed, entity)
-    if not hot:
-        return _window_means(keyed, features, months, entity)
-    is_hot = F.col(entity).isin(hot)
-    return _window_means(keyed.filter(~is_hot), features, months, entity).unionByName(
-        _window_means_of_sums(keyed.filter(is_hot), features, months, entity)
-    )
-
-
-def _span(entity: str, months: int) -> str:
-    return (
+    values = {c: F.col(c).cast("double") for c in features}
+    sums = [F.sum(v).alias(f"{c}_sum") for c, v in values.items()]
+    counts = [F.count(v).alias(f"{c}_count") for c, v in values.items()]
+    span = (
         f"OVER (PARTITION BY `{entity}` ORDER BY `{SNAPSHOT}` "
         f"RANGE BETWEEN INTERVAL '{months - 1}' MONTH PRECEDING AND CURRENT ROW)"
     )
-
-
-def _window_means(rows: DataFrame, features: list[str], months: int, entity: str) -> DataFrame:
-    span = _span(entity, months)
-    means = [F.expr(f"avg(`{c}`) {span} AS `{c}_{months}m_avg`") for c in features]
-    before = F.expr(f"lag(`{SNAPSHOT}`) OVER (PARTITION BY `{entity}` ORDER BY `{SNAPSHOT}`) AS before")
-    # Rows of one key have equal means; only the first of them is kept.
-    first_of_key = F.col("before").isNull() | (F.col("before") != F.col(SNAPSHOT))
-    return rows.select(entity, SNAPSHOT, *means, before).filter(first_of_key).drop("before")
-
-
-def _window_means_of_sums(rows: DataFrame, features: list[str], months: int, entity: str) -> DataFrame:
-    span = _span(entity, months)
-    sums = [F.sum(c).alias(f"{c}_sum") for c in features]
-    counts = [F.count(c).alias(f"{c}_count") for c in features]
-    daily = rows.groupBy(entity, SNAPSHOT).agg(*sums, *counts)
     means = [
         F.expr(f"try_divide(sum(`{c}_sum`) {span}, sum(`{c}_count`) {span}) AS `{c}_{months}m_avg`") for c in features
     ]
-    return daily.select(entity, SNAPSHOT, *means)
+    return keyed.groupBy(entity, SNAPSHOT).agg(*sums, *counts).select(entity, SNAPSHOT, *means)
 
 
 def customer_profiles(financials: DataFrame, attributes: DataFrame, max_null_percent: float = 5.0) -> DataFrame:
@@ -74,60 +35,54 @@ def customer_profiles(financials: DataFrame, attributes: DataFrame, max_null_per
     return complete.join(attributes.drop("Age", "Name", "SSN"), [ENTITY, SNAPSHOT], "inner")
 
 
-# Most copies of a row made at a time.
-_BLOCK = 10_000
+def attach_profiles(profiles: DataFrame, clicks: DataFrame, point_in_time: bool = False) -> DataFrame:
+    """Every click row with the profiles of its customer; none leaves nulls.
 
+    By default that is each profile, whatever its date: k profiles and m click dates give k * m rows, some of which
+    look ahead. With ``point_in_time`` it is the latest profile up to the click's date, of several with one date the
+    last in the order of their values, and the result has the click rows.
 
-def attach_profiles(profiles: DataFrame, clicks: DataFrame, hot: list | None = None, salts: int = 256) -> DataFrame:
-    """Every click row with each profile of its customer, whatever the profile's date; none leaves nulls.
-
-    An outer join cannot split the profile side of a hot customer, so those customers are joined apart: their
-    profile rows are spread over ``salts`` groups and their few click rows repeated per group. ``hot`` may name
-    any customers; those of them without a profile stay in the outer join.
+    ``profiles`` is read twice, so let it be a stored table. An inner join's large partitions are split on both sides
+    as it runs, which those of an outer join are not; so click rows without a profile are found apart.
     """
+    if point_in_time:
+        return _latest_profiles(profiles, clicks)
     profiles = profiles.drop(SNAPSHOT)
-    if not hot:
-        return profiles.join(clicks, [ENTITY], "right")
-    present = profiles.filter(F.col(ENTITY).isin(hot)).select(ENTITY).distinct()
-    hot = [r[ENTITY] for r in present.collect()]
-    is_hot = F.coalesce(F.col(ENTITY).isin(hot), F.lit(False))
-    usual = profiles.filter(~is_hot).join(clicks.filter(~is_hot), [ENTITY], "right")
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    split = (
-        _spread_copies(profiles.filter(is_hot), salts)
-        .join(clicks.filter(is_hot).withColumn("salt", every_salt), [ENTITY, "salt"], "inner")
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.floor((F.col("share") - 1) / _BLOCK))))
-        .withColumn("left", F.least(F.lit(_BLOCK), F.col("share") - F.col("block") * _BLOCK))
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("left"))))
+    matched = profiles.join(clicks, [ENTITY], "inner")
+    unmatched = clicks.join(profiles.select(ENTITY).distinct(), [ENTITY], "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
+def _latest_profiles(profiles: DataFrame, clicks: DataFrame) -> DataFrame:
+    """An as-of join as one window over both sides, profiles first on each date."""
+    values = [c for c in profiles.columns if c not in {ENTITY, SNAPSHOT}]
+    dated = profiles.groupBy(ENTITY, SNAPSHOT).agg(F.max(F.struct(*values)).alias("_profile"))
+    own = [c for c in clicks.columns if c not in {ENTITY, SNAPSHOT}]
+    both = dated.withColumn("_click", F.lit(None).cast(clicks.select(F.struct(*own)).schema[0].dataType)).unionByName(
+        clicks.select(ENTITY, SNAPSHOT, F.struct(*own).alias("_click")), allowMissingColumns=True
     )
-    return usual.unionByName(split.select(*usual.columns))
-
-
-def _spread_copies(rows: DataFrame, salts: int) -> DataFrame:
-    """Distinct rows with a ``salt`` and a ``share``; equal rows share their number over many salts.
-
-    The salt depends on the row's values alone, so a task that is run again gives the same rows.
-    """
-    columns = rows.columns
-    counted = rows.groupBy(*columns).agg(F.count("*").alias("copies"))
-    start = F.pmod(F.xxhash64(*columns), F.lit(salts))
-    pieces = F.least(F.col("copies"), F.lit(salts)).cast("int")
-    return (
-        counted.select("*", F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece"))
-        .withColumn("share", F.floor((F.col("copies") - F.col("piece") - 1) / salts) + 1)
-        .withColumn("salt", F.pmod(start + F.col("piece"), F.lit(salts)).cast("int"))
-        .drop("copies", "piece")
+    # The default range frame ends with the rows of the same date, profiles and clicks alike.
+    so_far = Window.partitionBy(ENTITY).orderBy(SNAPSHOT)
+    latest = both.withColumn("_profile", F.last("_profile", ignorenulls=True).over(so_far))
+    found = latest.filter(F.col("_click").isNotNull())
+    return found.select(
+        ENTITY,
+        *[F.col(f"_profile.{c}").alias(c) for c in values],
+        SNAPSHOT,
+        *[F.col(f"_click.{c}").alias(c) for c in own],
     )
 
 
 def feature_store(
-    financials: DataFrame, attributes: DataFrame, clicks: DataFrame, max_null_percent: float = 5.0
+    financials: DataFrame,
+    attributes: DataFrame,
+    clicks: DataFrame,
+    max_null_percent: float = 5.0,
+    point_in_time: bool = False,
 ) -> DataFrame:
     """Profile columns and rolling click averages for every (customer, snapshot) of the clicks."""
-    profiles = customer_profiles(financials, attributes, max_null_percent)
-    # A customer repeated in either profile source repeats in their join.
-    hot = sorted(set(hot_keys(financials, ENTITY)) | set(hot_keys(attributes, ENTITY)))
-    joined = attach_profiles(profiles, rolling_month_average(clicks), hot)
+    profiles = materialize(customer_profiles(financials, attributes, max_null_percent), "profiles")
+    joined = attach_profiles(profiles, rolling_month_average(clicks), point_in_time)
     averages = [f"{c}_5m_avg" for c in CLICK_FEATURES]
     profile_columns = [c for c in joined.columns if c not in {ENTITY, SNAPSHOT, *averages}]
     return joined.select(ENTITY, *profile_columns, *averages, SNAPSHOT)

@@ -7,13 +7,13 @@ from datetime import date
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from snapmart.operators.dataset import Preprocessor, TrainingWindow
+from snapmart.operators.dataset import Preprocessor, TrainingWindow, stratified_folds
 from snapmart.schemas import ENTITY, SNAPSHOT
+from snapmart.session import materialize
 
 # The search space. The names are Spark's; L1 and L2 penalties have no counterpart there.
 SEARCH_SPACE = {
@@ -27,38 +27,17 @@ SEARCH_SPACE = {
 }
 
 
-def preprocessing_stages(fitted: Preprocessor) -> list:
-    """The fitted preprocessing as stages that Spark ML can save and load."""
-
-    def quoted(text: str) -> str:
-        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    numbers = [f"(CAST(`{c}` AS DOUBLE) - ({m!r}D)) / {fitted.scales[c]!r}D AS `in_{i}`"
-               for i, (c, m) in enumerate(fitted.means.items())]
-    pairs = [(c, level) for c, levels in fitted.levels.items() for level in levels]
-    start = len(numbers)
-    flags = [f"CAST(coalesce(`{c}` = {quoted(v)}, false) AS INT) AS `in_{start + i}`" for i, (c, v) in enumerate(pairs)]
-    inputs = [f"in_{i}" for i in range(start + len(flags))]
-    return [
-        SQLTransformer(statement=f"SELECT *, {', '.join(numbers + flags)} FROM __THIS__"),
-        VectorAssembler(inputCols=inputs, outputCol="inputs"),
-    ]
-
-
 def classifier(seed: int = 88, **params) -> GBTClassifier:
     return GBTClassifier(featuresCol="inputs", labelCol="label", lossType="logistic", seed=seed).setParams(**params)
 
 
-def prepare(df: DataFrame, stages: list, extra=()) -> DataFrame:
+def prepare(df: DataFrame, fitted: Preprocessor, extra=()) -> DataFrame:
     """The assembled inputs, the label, and nothing else that a fit would have to carry."""
-    for stage in stages:
-        df = stage.transform(df)
-    return df.select("inputs", F.col("label").cast("double").alias("label"), *extra)
+    return fitted.transform(df).select("inputs", F.col("label").cast("double").alias("label"), *extra)
 
 
 def fit(train: DataFrame, fitted: Preprocessor, seed: int = 88, **params) -> PipelineModel:
-    stages = preprocessing_stages(fitted)
-    return PipelineModel([*stages, classifier(seed, **params).fit(prepare(train, stages))])
+    return PipelineModel([*fitted.stages, classifier(seed, **params).fit(prepare(train, fitted))])
 
 
 def draw_settings(space: dict[str, list], draws: int, seed: int) -> list[dict]:
@@ -80,18 +59,16 @@ def random_search(
 ) -> tuple[PipelineModel, dict, float]:
     """Best of ``draws`` random settings by cross-validated AUC, refitted on all rows.
 
-    Gives the model, its settings and its mean AUC over the folds. Folds follow from the row's key, so a fold
-    holds the same rows in every fit.
+    Gives the model, its settings and its mean AUC over the folds. Folds have equal shares of each label and follow from
+    the row's key, so a fold holds the same rows in every fit. AUC is exact, without binned scores.
     """
-    stages = preprocessing_stages(fitted)
-    fold = F.pmod(F.xxhash64(*keys), F.lit(folds)).cast("int").alias("fold")
-    rows = prepare(train, stages, [fold])
+    rows = materialize(prepare(stratified_folds(train, folds, keys=keys, seed=seed), fitted, ["fold"]), "search-rows")
     estimator = classifier(model_seed)
     settings = draw_settings(space, draws, seed)
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=[{estimator.getParam(k): v for k, v in s.items()} for s in settings],
-        evaluator=BinaryClassificationEvaluator(labelCol="label"),
+        evaluator=BinaryClassificationEvaluator(labelCol="label", numBins=0),
         numFolds=folds,
         foldCol="fold",
         parallelism=parallelism,
@@ -99,7 +76,7 @@ def random_search(
     )
     searched = search.fit(rows)
     best = max(range(len(settings)), key=lambda i: searched.avgMetrics[i])
-    return PipelineModel([*stages, searched.bestModel]), settings[best], searched.avgMetrics[best]
+    return PipelineModel([*fitted.stages, searched.bestModel]), settings[best], float(searched.avgMetrics[best])
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -130,6 +107,7 @@ REGISTRY_SCHEMA = T.StructType(
         T.StructField("model_name", T.StringType()),
         T.StructField("model_version", T.StringType()),
         T.StructField("data_dates", T.MapType(T.StringType(), T.DateType())),
+        T.StructField("data_config", T.MapType(T.StringType(), T.DoubleType())),
         T.StructField("data_stats", T.MapType(T.StringType(), T.DoubleType())),
         T.StructField("results", T.MapType(T.StringType(), T.DoubleType())),
         T.StructField("hp_params", T.MapType(T.StringType(), T.StringType())),
@@ -144,8 +122,11 @@ def registry_record(
     split_stats: DataFrame,
     split_auc: DataFrame,
     settings: dict,
+    train_share: float = 0.8,
+    search_auc: float | None = None,
 ) -> DataFrame:
-    """One row that describes a trained model: dates, split sizes and rates, AUC and Gini per split, settings.
+    """One row that describes a trained model: dates, window lengths, split sizes and rates, AUC and Gini per split, the
+    search's mean AUC, settings.
 
     ``split_stats`` and ``split_auc`` have one row per split.
     """
@@ -156,7 +137,12 @@ def registry_record(
         "train_test_start_date": window.train_test_start,
         "train_test_end_date": window.train_test_end,
     }
-    stats, results = {}, {}
+    config = {
+        "train_test_period_months": float(window.train_test_months),
+        "oot_period_months": float(window.oot_months),
+        "train_test_ratio": train_share,
+    }
+    stats, results = {}, {} if search_auc is None else {"auc_search": search_auc}
     for r in split_stats.collect():
         stats[f"rows_{r['split']}"] = float(r["rows"])
         stats[f"positive_rate_{r['split']}"] = r["positive_rate"]
@@ -165,4 +151,4 @@ def registry_record(
         results[f"gini_{r['split']}"] = r["gini"]
     version = f"credit_model_{window.train_date:%Y_%m_%d}"
     params = {k: str(v) for k, v in settings.items()}
-    return spark.createDataFrame([(name, version, dates, stats, results, params)], REGISTRY_SCHEMA)
+    return spark.createDataFrame([(name, version, dates, config, stats, results, params)], REGISTRY_SCHEMA)

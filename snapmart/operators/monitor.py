@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from snapmart.functions.stats import EXACT_SAMPLE, exact_p_column, histogram_bin, kolmogorov_p
+from snapmart.functions.stats import exact_p_column, histogram_bin, kolmogorov_p
 from snapmart.operators.ranges import by_range, earlier_parts, within_part
 from snapmart.schemas import ENTITY, SNAPSHOT
 
@@ -111,13 +111,13 @@ def ks_drift(
     baseline: Column,
     current: Column,
     alpha: float = 0.05,
-    p_value: str = "auto",
+    p_value: str = "law",
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per feature between the baseline and the current rows.
 
     ``baseline`` and ``current`` are conditions on the rows. Nulls are dropped; a feature without values on one
-    side has a null statistic. P-values are exact when both samples have at most 10,000 values (``auto``) and
-    from the large-sample law otherwise or with ``asymptotic``.
+    side has a null statistic. P-values follow one corrected large-sample law at every size; ``p_value="exact"`` counts
+    all orders of two small samples without ties instead, in time that grows with the square of their size.
     """
     values = (
         df.filter(baseline | current)
@@ -166,11 +166,10 @@ def ks_drift(
         F.coalesce("n_baseline", F.lit(0)).alias("n_baseline"),
         F.coalesce("n_current", F.lit(0)).alias("n_current"),
     )
-    p = kolmogorov_p(F.col("ks"), F.col("n_baseline"), F.col("n_current"))
-    if p_value == "auto":
-        small = F.greatest("n_baseline", "n_current") <= EXACT_SAMPLE
-        exact = exact_p_column(F.when(small, F.col("ks")), "n_baseline", "n_current")
-        p = F.when(small, exact).otherwise(p)
+    if p_value == "exact":
+        p = exact_p_column("ks", "n_baseline", "n_current")
+    else:
+        p = kolmogorov_p(F.col("ks"), F.col("n_baseline"), F.col("n_current"))
     return result.withColumn("p_value", p).withColumn("drifted", F.col("p_value") < alpha)
 
 

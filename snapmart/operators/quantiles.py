@@ -1,25 +1,16 @@
 """Exact quantiles of many columns per group, without gathering a group anywhere.
 
-Each pass reduces the data to a small histogram per (group, column), and the next pass looks only inside the
-cell that holds the wanted rank. A group of any size therefore costs a few scans with map-side aggregation;
-the last step sorts at most ``dense_limit`` distinct values of a group.
+Values are counted first; the counts are ordered over many tasks, and each wanted rank is found from the totals of the
+parts before it. The steps are the same at every size, and ties and hot values cost nothing.
 """
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window, functions as F
 
+from snapmart.operators.ranges import by_range, earlier_parts, within_part
 from snapmart.session import materialize
 
 
-def exact_quantiles(
-    df: DataFrame,
-    by: list[str],
-    columns: list[str],
-    probabilities: list[float],
-    dense_limit: int = 1_000_000,
-    cells: int = 4096,
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, by: list[str], columns: list[str], probabilities: list[float]) -> DataFrame:
     """The sample value at rank ``ceil(p * n)`` for each group, column and probability.
 
     Nulls and NaN are not counted. The result has the columns ``by``, ``column``, ``probability`` and ``value``;
@@ -31,6 +22,16 @@ def exact_quantiles(
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
     )
     keys = [*by, "column"]
+    # Stored: a part's number holds only within one run of the range partitioning.
+    counts = materialize(
+        by_range(values.groupBy(*keys, "value").agg(F.count("*").alias("copies")), keys, "value")
+        .withColumn("upto", F.sum("copies").over(within_part(keys, "value"))),
+        "value-counts",
+    )
+    # One row per group and part that it reaches into, with the ranks that lie there.
+    parts = counts.groupBy(*keys, "part").agg(F.max("upto").alias("inside"))
+    below = F.coalesce(F.sum("inside").over(earlier_parts(keys)), F.lit(0))
+    whole = F.sum("inside").over(Window.partitionBy(*keys))
     ranks = F.array(
         *[
             F.struct(
@@ -40,87 +41,18 @@ def exact_quantiles(
             for p in probabilities
         ]
     )
-    # One row per wanted value: its rank, and the closed range [low, high] known to hold it. `below` values of
-    # the group lie under the range, `inside` values in it.
     targets = (
-        values.groupBy(*keys)
-        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .select(
-            *keys, F.inline(ranks), "low", "high", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("inside")
-        )
-    )
-    targets = materialize(targets, "quantile-ranges")
-    while _widest(targets) > dense_limit:
-        targets = materialize(_narrow(values, targets, keys, cells), "quantile-ranges")
-    return _pick(values, targets, keys)
-
-
-def _widest(targets: DataFrame) -> int:
-    return targets.filter("low < high").agg(F.max("inside")).first()[0] or 0
-
-
-def _same(left: str, right: str, keys: list[str]):
-    return reduce(
-        lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
-    )
-
-
-def _in_ranges(values: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
-    """The values inside each distinct range. The ranges are a small table whose size the planner knows."""
-    ranges = targets.select(*keys, "low", "high", "below").distinct()
-    inside = F.col("v.value").between(F.col("r.low"), F.col("r.high"))
-    return (
-        values.alias("v")
-        .join(ranges.alias("r"), _same("v", "r", keys) & inside)
-        .select(*[F.col(f"v.{k}") for k in keys], "value", "low", "high", "below")
-    )
-
-
-def _narrow(values: DataFrame, targets: DataFrame, keys: list[str], cells: int) -> DataFrame:
-    # The range's two ends get cells of their own, so every pass shrinks it. Halves keep the width finite.
-    reach = (F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
-    cell = (
-        F.when(F.col("value") == F.col("low"), F.lit(0))
-        .when(F.col("value") == F.col("high"), F.lit(cells + 2))
-        .otherwise(F.floor(reach * F.lit(float(cells))) + 1)
-    )
-    range_keys = [*keys, "low", "high", "below"]
-    histogram = (
-        _in_ranges(values, targets, keys)
-        .groupBy(*range_keys, cell.alias("cell"))
-        .agg(F.count("*").alias("inside"), F.min("value").alias("cell_low"), F.max("value").alias("cell_high"))
-    )
-    running = Window.partitionBy(*range_keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    histogram = histogram.withColumn(
-        "cell_below", F.col("below") + F.coalesce(F.sum("inside").over(running), F.lit(0))
-    )
-    return (
-        targets.alias("t")
-        .join(histogram.alias("h"), _same("t", "h", [*keys, "low", "high"]))
-        .filter("t.rank > h.cell_below and t.rank <= h.cell_below + h.inside")
-        .select(
-            *[F.col(f"t.{k}") for k in keys],
-            "t.probability",
-            "t.rank",
-            F.col("h.cell_low").alias("low"),
-            F.col("h.cell_high").alias("high"),
-            F.col("h.cell_below").alias("below"),
-            "h.inside",
-        )
-    )
-
-
-def _pick(values: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
-    range_keys = [*keys, "low", "high", "below"]
-    counts = _in_ranges(values, targets, keys).groupBy(*range_keys, "value").agg(F.count("*").alias("copies"))
-    running = Window.partitionBy(*range_keys).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("under", F.col("below") + F.coalesce(F.sum("copies").over(running), F.lit(0)))
-    return (
-        targets.alias("t")
-        .join(counts.alias("c"), _same("t", "c", [*keys, "low", "high"]))
-        .filter("t.rank > c.under and t.rank <= c.under + c.copies")
-        .select(*[F.col(f"t.{k}") for k in keys], "t.probability", "c.value")
+        parts.select(*keys, "part", "inside", below.alias("below"), whole.alias("n"))
+        .select(*keys, "part", "inside", "below", F.inline(ranks))
+        .filter((F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("below") + F.col("inside")))
+        .select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("part").alias("_part"), "below", "probability", "rank")
     )
+    same = F.col("part") == F.col("_part")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    upto = F.col("below") + F.col("upto")
+    hit = (F.col("rank") <= upto) & (F.col("rank") > upto - F.col("copies"))
+    return counts.join(targets, same).filter(hit).select(*keys, "probability", "value")
 
 
 def approximate_quantiles(

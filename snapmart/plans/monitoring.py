@@ -6,7 +6,6 @@ from snapmart.operators import monitor
 from snapmart.operators.profile import count_by_snapshot
 from snapmart.plans.layout import Mart
 from snapmart.schemas import SNAPSHOT
-from snapmart.session import materialize
 from snapmart.sources.snapshots import read_table
 
 # The features whose distribution is watched.
@@ -22,17 +21,22 @@ def performance_report(spark: SparkSession, mart: Mart, model_name: str) -> Data
 def drift_reports(spark: SparkSession, mart: Mart, baseline, current, watched=WATCHED) -> dict[str, DataFrame]:
     """Label counts, concept drift, and feature drift and prediction stability between two snapshots.
 
-    The joined table is written once, with only the columns that the reports read.
+    Feature drift and stability read only the partitions of the two snapshots; concept drift joins only the keys, the
+    prediction and the label of all of them.
     """
     predictions, features, labels = (
         read_table(spark, mart.gold(t)) for t in ("model_predictions", "feature_store", "label_store")
     )
-    merged = monitor.monitoring_frame(predictions, features.select(*monitor.KEYS, *watched), labels)
-    merged = materialize(merged, "monitoring-frame")
-    then, now = (F.col(SNAPSHOT) == F.lit(d).cast("date") for d in (baseline, current))
+    days = [F.lit(d).cast("date") for d in (baseline, current)]
+    both = [t.filter(F.col(SNAPSHOT).isin(days)) for t in (predictions, features, labels)]
+    merged = monitor.monitoring_frame(both[0], both[1].select(*monitor.KEYS, *watched), both[2])
+    then, now = (F.col(SNAPSHOT) == d for d in days)
+    # Rows without features are no rows of the monitored frame; only their keys are needed to leave them out.
+    keyed = predictions.join(features.select(*monitor.KEYS), monitor.KEYS)
+    errors = keyed.join(labels.select(*monitor.KEYS, "label"), monitor.KEYS)
     return {
         "label_counts": count_by_snapshot(labels),
         "feature_drift": monitor.ks_drift(merged, watched, then, now),
         "prediction_stability": monitor.population_stability(merged, then, now),
-        "concept_drift": monitor.concept_drift(merged),
+        "concept_drift": monitor.concept_drift(errors),
     }

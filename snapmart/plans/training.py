@@ -14,7 +14,7 @@ from snapmart.operators.dataset import (
 )
 from snapmart.operators.monitor import auc_and_gini
 from snapmart.plans.layout import Mart
-from snapmart.session import materialize
+from snapmart.session import materialize, work_tables
 from snapmart.sources.snapshots import read_table, write_snapshots
 
 ALGORITHM = "gbt"
@@ -37,7 +37,7 @@ def train(
     """The best model, its registry row, and the scored rows of all splits."""
     rows = materialize(split_frame(labels, features, window), "split-frame")
     fitted = fit_preprocessor(rows.filter("split = 'train'"))
-    model, settings, _ = M.random_search(rows.filter("split = 'train'"), fitted, draws=draws, folds=folds, **search)
+    model, settings, search_auc = M.random_search(rows.filter("split = 'train'"), fitted, draws=draws, folds=folds, **search)
     scored = M.with_probability(model, rows)
     record = M.registry_record(
         rows.sparkSession,
@@ -46,17 +46,22 @@ def train(
         split_statistics(rows),
         auc_and_gini(scored, "model_predictions", "label", ["split"]),
         settings,
+        search_auc=search_auc,
     )
     return model, record, scored
 
 
 def run_training(spark: SparkSession, mart: Mart, window: TrainingWindow, **search) -> str:
-    """Train on the gold tables; saves the model and appends its registry row. Gives the model's name."""
+    """Train on the gold tables; saves the model and writes its registry row over one of the same name and version.
+
+    Gives the model's name.
+    """
     labels, features = read_table(spark, mart.gold("label_store")), read_table(spark, mart.gold("feature_store"))
-    model, record, _ = train(labels, features, window, **search)
     name = f"{ALGORITHM}_credit_model_{window.train_date:%Y_%m_%d}"
-    M.save_model(model, mart.model(name))
-    record.write.mode("append").parquet(mart.model("registry"))
+    with work_tables(spark):
+        model, record, _ = train(labels, features, window, **search)
+        M.save_model(model, mart.model(name))
+        write_snapshots(record, mart.model("registry"), partition_columns=("model_name", "model_version"))
     return name
 
 

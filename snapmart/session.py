@@ -2,11 +2,16 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDER_KEY = "snapmart.local.work.folder"
 
+# Paths made inside each open `work_tables` block.
+_open_blocks: list[list[str]] = []
+
 
 def work_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the session's ``spark.checkpoint.dir`` names it.
@@ -25,18 +30,32 @@ def work_folder(spark: SparkSession) -> str:
     return folder
 
 
-def _application_folder(spark: SparkSession) -> str:
-    return f"{work_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}"
+def new_path(spark: SparkSession, name: str) -> str:
+    path = f"{work_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    if _open_blocks:
+        _open_blocks[-1].append(path)
+    return path
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{_application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def work_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes the work tables that the block makes at its end; frames made inside must not be read later."""
+    _open_blocks.append([])
+    try:
+        yield
+    finally:
+        for path in _open_blocks.pop():
+            _delete(spark, path)
 
 
 def drop_work_tables(spark: SparkSession) -> None:
-    """Delete this application's tables in the work folder, once nothing reads them any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete all of this application's tables in the work folder, once nothing reads them any more."""
+    _delete(spark, f"{work_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -4,21 +4,32 @@ A table is a folder with one ``snapshot_date=YYYY-MM-DD`` partition per snapshot
 partitions present in the data, so rerunning one snapshot leaves the others alone.
 """
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from snapmart.functions.columns import date_in_file_name
 from snapmart.schemas import SNAPSHOT
 
+# Columns beside the sources' own: unreadable lines, and columns that a table's schema does not name.
+CORRUPT, EXTRA = "_corrupt", "_extra"
 
-def read_csv(spark: SparkSession, path: str, columns: list[str] = ()) -> DataFrame:
+
+def read_csv(
+    spark: SparkSession, path: str, columns: list[str] = (), multi_line: bool = False, keep_corrupt: bool = False
+) -> DataFrame:
     """A CSV file or folder with headers, every column as text, the given columns first and in that order.
 
-    Columns go by the header's names, and files whose headers differ are an error rather than shifted columns.
-    Of a snapshot-partitioned folder ``snapshot_date`` comes from the partition folders, as a date.
+    Quotes inside quoted text are doubled, as usual. ``multi_line`` lets quoted text hold line breaks; a file is then
+    read by one task. Columns go by the header's names, and files whose headers differ are an error rather than
+    shifted columns; read them one by one. With ``keep_corrupt`` the column ``CORRUPT`` holds the text of lines whose
+    number of fields is wrong.
     """
-    rows = spark.read.csv(path, header=True, enforceSchema=False, mode="PERMISSIVE")
-    known = [c for c in columns if c in rows.columns]
-    return rows.select(*known, *sorted(set(rows.columns) - set(known)))
+    options = {"header": True, "enforceSchema": False, "mode": "PERMISSIVE", "escape": '"', "multiLine": multi_line}
+    names = spark.read.options(**options).csv(path).columns
+    beside = [CORRUPT] if keep_corrupt else []
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, *beside]])
+    rows = spark.read.options(**options, columnNameOfCorruptRecord=CORRUPT).schema(schema).csv(path)
+    known = [c for c in columns if c in names]
+    return rows.select(*known, *sorted(set(names) - set(known)), *beside)
 
 
 def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
@@ -38,7 +49,7 @@ def read_dated_files(
     if schema is not None:
         reader = reader.schema(schema)
     if file_format == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
+        reader = reader.options(header=True, enforceSchema=False, escape='"')
     rows = reader.format(file_format).load(path)
     named = rows.withColumn("file_snapshot", date_in_file_name(F.col("_metadata.file_name")))
     undated = (
@@ -51,9 +62,9 @@ def read_dated_files(
 
 
 def write_snapshots(
-    df: DataFrame, path: str, file_format: str = "parquet", partition_columns=(SNAPSHOT,)
+    df: DataFrame, path: str, file_format: str = "parquet", partition_columns=(SNAPSHOT,), whole_table: bool = False
 ) -> None:
-    """Overwrite exactly the partitions that ``df`` holds, in a single pass over it.
+    """Overwrite exactly the partitions that ``df`` holds, or the whole table, in a single pass over it.
 
     ``rebalance`` gathers each partition's rows into few files, and splits a snapshot that holds much of the
     data into several tasks, where a plain repartition on the date would give it to a single one.
@@ -61,25 +72,81 @@ def write_snapshots(
     writer = (
         df.hint("rebalance", *[F.col(c) for c in partition_columns])
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole_table else "dynamic")
         .partitionBy(*partition_columns)
     )
     if file_format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     writer.format(file_format).save(path)
 
 
-def split_into_snapshots(raw: DataFrame, path: str) -> None:
-    """Raw rows to a CSV table with one partition per snapshot date; rows without a date are left out.
+# How bronze writes what would part a line: every backslash it writes is followed by one of these letters.
+_CODES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _one_line(c: Column) -> Column:
+    for plain, coded in _CODES:
+        c = F.replace(c, F.lit(plain), F.lit(coded))
+    return c
+
+
+def _many_lines(c: Column) -> Column:
+    for plain, coded in reversed(_CODES):
+        c = F.replace(c, F.lit(coded), F.lit(plain))
+    return c
+
+
+def split_into_snapshots(raw: DataFrame, path: str, columns: list[str], quarantine: str) -> None:
+    """Raw rows of text to a CSV table with one partition per snapshot date; other rows to the quarantine table.
 
-    The text of every other column is written as it came.
+    All files have the same header: ``columns``, null where the source lacks one, and ``EXTRA`` with the source's
+    further columns as a JSON object. So snapshots of differing sources stay readable together, and every text comes
+    back as it was, with its spaces, quotes and line breaks.
     """
-    dated = raw.withColumn(SNAPSHOT, F.col(SNAPSHOT).try_cast("date"))
-    write_snapshots(dated.filter(F.col(SNAPSHOT).isNotNull()), path, "csv")
+    corrupt = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
+    day = F.col(SNAPSHOT).try_cast("date")
+    further = [c for c in raw.columns if c not in {*columns, CORRUPT, EXTRA}]
+    extra = F.to_json(F.struct(*further)) if further else F.lit(None).cast("string")
+    text = {c: F.col(c).cast("string") if c in raw.columns else F.lit(None).cast("string") for c in columns}
+    fixed = raw.select(
+        *[_one_line(v).alias(c) for c, v in text.items() if c != SNAPSHOT],
+        _one_line(extra).alias(EXTRA),
+        text[SNAPSHOT].alias("_day_text"),
+        day.alias(SNAPSHOT),
+        corrupt.alias(CORRUPT),
+    )
+    # Written as a table of its own: partitions by day would lose the text that is no day.
+    good = F.col(SNAPSHOT).isNotNull() & F.col(CORRUPT).isNull()
+    write_snapshots(fixed.filter(good).drop("_day_text", CORRUPT), path, "csv")
+    reason = F.when(F.col(CORRUPT).isNotNull(), "fields").otherwise("date")
+    rejected = fixed.filter(~good).withColumns({"reason": reason, SNAPSHOT: F.col("_day_text")}).drop("_day_text")
+    rejected.write.mode("overwrite").parquet(quarantine)
+
+
+def read_split(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """A table written by ``split_into_snapshots``: ``columns``, and the sources' further columns if there are any."""
+    stored = [c for c in columns if c != SNAPSHOT]
+    rows = spark.read.schema(
+        T.StructType([*[T.StructField(c, T.StringType()) for c in [*stored, EXTRA]], T.StructField(SNAPSHOT, T.DateType())])
+    ).csv(path, header=True, enforceSchema=False, escape='"')
+    text = {c: _many_lines(F.col(c)).alias(c) for c in [*stored, EXTRA]}
+    return rows.select(*[F.col(c) if c == SNAPSHOT else text[c] for c in [*columns, EXTRA]])
+
+
+def extra_column(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with one of the sources' further columns, null where a source lacks it."""
+    return rows.withColumn(name, F.get_json_object(EXTRA, f"$['{name}']"))
+
+
+def quarantine_counts(rejected: DataFrame) -> DataFrame:
+    """What bronze left out: the reason, the snapshot's text and the number of rows."""
+    return rejected.groupBy("reason", SNAPSHOT).agg(F.count("*").alias("rows"))
 
 
 def undated_rows(raw: DataFrame) -> DataFrame:
-    """The snapshot texts that are not dates, with their row counts: what bronze leaves out."""
+    """The snapshot texts that are not dates, with their row counts."""
     bad = raw.filter(F.col(SNAPSHOT).try_cast("date").isNull())
     return bad.groupBy(SNAPSHOT).agg(F.count("*").alias("rows"))
 

@@ -75,25 +75,42 @@ def test_split_statistics(spark):
     assert rows(dataset.split_statistics(df)) == [("test", 1, 1.0), ("train", 3, 0.33)]
 
 
+def test_folds_are_even_and_stratified(spark):
+    df = labelled(spark, {0: 100, 1: 8})
+    folded = dataset.stratified_folds(df, 3)
+    counts = {(r.fold, r.label): r["count"] for r in folded.groupBy("fold", "label").count().collect()}
+    assert sum(counts.values()) == 108
+    assert all(counts[f, 0] in (33, 34) and counts[f, 1] in (2, 3) for f in range(3))
+    assert rows(folded) == rows(dataset.stratified_folds(df.repartition(7), 3))
+
+
 def test_preprocessing(spark):
     draw = random.Random(3)
-    data = [(draw.choice(["A", "B", "_", None]), draw.uniform(0, 9), 4.0, i % 2 == 0) for i in range(200)]
-    df = spark.createDataFrame(data, "mix string, x double, flat double, flag boolean")
+    data = [(draw.choice(["A", "B", "_", None]), draw.uniform(0, 9), 4.0, i % 2 == 0, "s") for i in range(200)]
+    df = spark.createDataFrame(data, "mix string, x double, flat double, flag boolean, snapshot string")
     fitted = dataset.fit_preprocessor(df, ["mix"], ["x", "flat"])
-    assert fitted.levels == {"mix": ["A", "B"]}
-    out = fitted.transform(df)
-    assert out.columns == ["x", "flat", "flag", "mix_A", "mix_B"]
+    assert fitted.names == ["x", "flat", "flag", "mix_A", "mix_B"]
+    out = fitted.input_columns(df)
+    assert out.columns == ["mix", "snapshot", "x", "flat", "flag", "mix_A", "mix_B"]
     x = np.array([r[1] for r in data])
     got = out.collect()
     assert [r["x"] for r in got] == pytest.approx(list((x - x.mean()) / x.std()))
     assert {r["flat"] for r in got} == {0.0}
     assert [(r["mix_A"], r["mix_B"]) for r in got] == [(int(m == "A"), int(m == "B")) for m, *_ in data]
-    assert [r["flag"] for r in got] == [int(f) for *_, f in data]
+    assert [r["flag"] for r in got] == [int(f) for *_, f, _ in data]
+
+
+def test_unknown_levels_have_no_indicator(spark):
+    df = spark.createDataFrame([("A", None), ("B", None)], "c string, void string")
+    fitted = dataset.fit_preprocessor(df, ["c", "void"], [])
+    assert fitted.names == ["c_A", "c_B"]
+    new = spark.createDataFrame([("C", "x"), ("B", None), (None, None)], "c string, void string")
+    made = fitted.input_columns(new).select("c_A", "c_B").collect()
+    assert [tuple(r) for r in made] == [(0.0, 0.0), (0.0, 1.0), (0.0, 0.0)]
 
 
-def test_too_many_levels_and_empty_columns_are_errors(spark):
-    df = spark.range(20).selectExpr("cast(id as string) as c", "cast(null as double) as x")
-    with pytest.raises(ValueError, match="levels"):
-        dataset.fit_preprocessor(df, ["c"], [], max_levels=19)
+def test_many_levels_are_fitted_and_empty_columns_are_errors(spark):
+    df = spark.range(12_000).selectExpr("cast(id as string) as c", "cast(null as double) as x")
+    assert len(dataset.fit_preprocessor(df, ["c"], []).names) == 12_000
     with pytest.raises(ValueError, match="no values"):
         dataset.fit_preprocessor(df, [], ["x"])

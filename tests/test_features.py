@@ -44,10 +44,9 @@ def close(left, right):
         assert a[2:] == pytest.approx(b[2:])
 
 
-@pytest.mark.parametrize("hot", [None, [], ["hot"], ["hot", "twice", "absent"], ["a", "b", "hot", "gap4", "gap5", "empty"]])
-def test_rolling_average_equals_the_self_join(spark, hot):
+def test_rolling_average_equals_the_self_join(spark):
     df = clicks(spark)
-    got = features.rolling_month_average(df, NAMES, hot=hot)
+    got = features.rolling_month_average(df, NAMES)
     assert got.columns == ["Customer_ID", "snapshot_date", "fe_1_5m_avg", "fe_2_5m_avg"]
     close(rows(got), rows(joined_averages(df)))
 
@@ -57,35 +56,34 @@ def test_gap_of_five_months_starts_afresh(spark):
     assert [r[2] for r in rows(got)] == [1.0, 2.0, 1.0, 3.0]
 
 
-def test_hot_keys(spark):
-    df = spark.range(1000).selectExpr("if(id < 400, 'x', if(id < 700, 'y', cast(id as string))) as k")
-    assert features.hot_keys(df.union(spark.sql("select null")), "k", most=5, floor=100) == ["x", "y"]
-    assert features.hot_keys(df, "k", most=1, floor=100) == ["x"]
-    assert features.hot_keys(df, "k") == []
-
-
-def test_profiles_of_hot_customers_keep_every_copy(spark):
+def _people_and_clicks(spark):
     people = [("a", date(2023, m, 1), m) for m in range(1, 4)] + [("hot", date(2023, 1, 1), 7)] * 50
     people += [("hot", date(2023, 2, 1), m) for m in range(20)] + [("unseen", date(2023, 1, 1), 1)]
     profiles = spark.createDataFrame(people, "Customer_ID string, snapshot_date date, income int")
     seen = spark.createDataFrame(
-        [(c, date(2023, m, 1), float(m)) for c in ["a", "hot", "stranger"] for m in range(1, 7)],
+        [(c, date(2023, m, 1), float(m)) for c in ["a", "hot", "stranger", None] for m in range(1, 7)],
         "Customer_ID string, snapshot_date date, fe double",
     )
-    plain = features.attach_profiles(profiles, seen)
-    split = features.attach_profiles(profiles, seen, ["hot", "stranger", "nobody"], salts=8)
-    assert plain.count() == 3 * 6 + 70 * 6 + 6
-    assert split.columns == plain.columns
-    assert rows(split) == rows(plain)
-
-
-def test_copies_are_spread_evenly(spark):
-    copies = spark.range(1000).selectExpr("'hot' as Customer_ID", "1 as income")
-    spread = features._spread_copies(copies, 8)
-    assert sorted(r["share"] for r in spread.collect()) == [125] * 8
-    assert sorted(r["salt"] for r in spread.collect()) == list(range(8))
-    few = features._spread_copies(copies.limit(3), 8)
-    assert [r["share"] for r in few.collect()] == [1, 1, 1]
+    return people, profiles, seen
+
+
+def test_every_click_row_meets_all_profiles_of_its_customer(spark):
+    people, profiles, seen = _people_and_clicks(spark)
+    joined = features.attach_profiles(profiles, seen)
+    outer = profiles.drop("snapshot_date").join(seen, "Customer_ID", "right")
+    assert rows(joined, *outer.columns) == rows(outer)
+    assert joined.count() == 3 * 6 + 70 * 6 + 6 + 6
+
+
+def test_point_in_time_profiles_do_not_look_ahead(spark):
+    people, profiles, seen = _people_and_clicks(spark)
+    joined = features.attach_profiles(profiles, seen, point_in_time=True)
+    expected = []
+    for r in seen.collect():
+        known = [(day, income) for c, day, income in people if c == r.Customer_ID and day <= r.snapshot_date]
+        expected.append((r.Customer_ID, max(known)[1] if known else None, r.snapshot_date, r.fe))
+    assert rows(joined, "Customer_ID", "income", "snapshot_date", "fe") == sorted(expected, key=repr)
+    assert rows(features.attach_profiles(profiles, seen.filter("false"), point_in_time=True)) == []
 
 
 def test_profiles_need_both_sources_and_complete_rows(spark):

@@ -2,6 +2,7 @@ import random
 from datetime import date
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from snapmart import schemas as S
@@ -32,16 +33,15 @@ def stores(spark):
     )
 
 
-def test_stages_equal_the_preprocessor(spark):
+def test_saved_stages_make_the_inputs(spark, tmp_path):
     _, feats = stores(spark)
     fitted = fit_preprocessor(feats)
-    assert fitted.levels["Credit_Mix"] == ["Bad", "Good"]
-    df = feats
-    for stage in model.preprocessing_stages(fitted):
-        df = stage.transform(df)
-    inputs = [list(r[0]) for r in df.orderBy("Customer_ID").select("inputs").collect()]
-    plain = [list(map(float, r)) for r in fitted.transform(feats).orderBy("Customer_ID").select(*fitted.input_columns()).collect()]
-    assert inputs == [pytest.approx(p) for p in plain]
+    assert [n for n in fitted.names if n.startswith("Credit_Mix")] == ["Credit_Mix_Bad", "Credit_Mix_Good"]
+    assert fitted.names[-1] == "Occupation_x" and len(fitted.names) == len(S.NUMERIC_INPUTS) + 5
+    path = str(tmp_path / "stages")
+    model.save_model(PipelineModel(fitted.stages), path)
+    again = model.load_model(path).transform(feats).orderBy("Customer_ID").select("inputs").collect()
+    assert again == fitted.transform(feats).orderBy("Customer_ID").select("inputs").collect()
 
 
 def test_draws_are_distinct_and_repeatable():
@@ -58,7 +58,12 @@ def test_train_score_monitor(spark, tmp_path):
     write_snapshots(feats, mart.gold("feature_store"))
     name = training.run_training(spark, mart, WINDOW, draws=2, folds=2, space=SPACE, parallelism=2)
     assert name == "gbt_credit_model_2024_09_01"
+    training.run_training(spark, mart, WINDOW, draws=1, folds=2, space=SPACE)
+    assert spark.read.parquet(mart.model("registry")).count() == 1
+    training.run_training(spark, mart, WINDOW, draws=2, folds=2, space=SPACE, parallelism=2)
     record = spark.read.parquet(mart.model("registry")).first()
+    assert record.data_config == {"train_test_period_months": 12.0, "oot_period_months": 2.0, "train_test_ratio": 0.8}
+    assert record.results["auc_search"] > 0.8
     assert record.data_dates["oot_end_date"] == date(2024, 8, 31)
     assert sum(v for k, v in record.data_stats.items() if k.startswith("rows")) == 600
     assert record.results["auc_oot"] > 0.8
@@ -76,6 +81,8 @@ def test_train_score_monitor(spark, tmp_path):
     report = dict(monitoring.performance_report(spark, mart, name).collect())
     assert report["AUC"] > 0.8
     drift = monitoring.drift_reports(spark, mart, *days)
+    plan = drift["feature_drift"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [snapshot_date" in plan and "PartitionFilters: []" not in plan
     assert drift["feature_drift"].count() == 6
     assert drift["prediction_stability"].first().psi >= 0
     assert drift["concept_drift"].count() == 2

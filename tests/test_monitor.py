@@ -88,7 +88,9 @@ def panel(spark):
 
 def test_ks(spark):
     data, df = panel(spark)
-    got = {r.feature: r for r in monitor.ks_drift(df, ["x", "ties", "lost", "flat"], ~F.col("now"), F.col("now")).collect()}
+    sides = ~F.col("now"), F.col("now")
+    got = {r.feature: r for r in monitor.ks_drift(df, ["x", "ties", "lost", "flat"], *sides, p_value="exact").collect()}
+    law = {r.feature: r for r in monitor.ks_drift(df, ["x", "ties", "lost", "flat"], *sides).collect()}
     for i, c in enumerate(["x", "ties", "lost", "flat"], 1):
         a = [r[i] for r in data if not r[0] and r[i] is not None]
         b = [r[i] for r in data if r[0] and r[i] is not None]
@@ -96,6 +98,7 @@ def test_ks(spark):
         if a and b:
             assert got[c].ks == pytest.approx(brute_ks(a, b))
             assert got[c].p_value == pytest.approx(exact_p(brute_ks(a, b), len(a), len(b)))
+            assert law[c].ks == got[c].ks and law[c].p_value == pytest.approx(got[c].p_value, abs=0.02)
             assert got[c].drifted == (got[c].p_value < 0.05)
         else:
             assert (got[c].ks, got[c].p_value, got[c].drifted) == (None, None, None)

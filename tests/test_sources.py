@@ -6,7 +6,8 @@ from pyspark.sql import types as T
 
 from snapmart.plans import etl
 from snapmart.plans.layout import Mart
-from snapmart.session import materialize, work_folder
+from snapmart.schemas import RAW_COLUMNS
+from snapmart.session import materialize, work_folder, work_tables
 from snapmart.sources import snapshots
 
 from conftest import rows
@@ -114,3 +115,48 @@ def test_files_with_other_headers_are_an_error(spark, tmp_path):
     (tmp_path / "b.csv").write_text("Age,Customer_ID\n1,c1\n")
     with pytest.raises(Exception, match="CSV header does not conform"):
         snapshots.read_csv(spark, str(tmp_path)).collect()
+
+
+def test_bronze_text_survives_and_rejects_are_counted(spark, tmp_path):
+    texts = [" no ", "_ ", 'say ""hi"", x', "a\nb", "tail\\n\\", "\\s", "", '""']
+    lines = [f'c{i},"{t}",{i},s,o,2024-01-01' for i, t in enumerate(texts)]
+    lines += ["c90,n,1,s,o,someday", "c91,n,1,s,o", "c92,n,1,s,o,2024-01-01,more", "c93,n,1,s,o,"]
+    raw = tmp_path / "raw.csv"
+    raw.write_text("Customer_ID,Name,Age,SSN,Occupation,snapshot_date\n" + "\n".join(lines) + "\n")
+    mart = Mart(str(tmp_path / "mart"))
+    etl.build_bronze(spark, {"attributes": str(raw)}, mart, multi_line=True)
+    found = {r.Customer_ID: r.Name for r in etl.read_bronze(spark, mart, "attributes").collect()}
+    # A quoted empty text is null, as usual in CSV.
+    assert found == {f"c{i}": t.replace('""', '"') or None for i, t in enumerate(texts)}
+    rejected = spark.read.parquet(mart.quarantine("attributes"))
+    assert rows(snapshots.quarantine_counts(rejected)) == [
+        ("date", "someday", 1), ("date", None, 1), ("fields", "2024-01-01", 1), ("fields", None, 1)
+    ]
+
+
+def test_snapshots_of_differing_sources_are_read_together(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Customer_ID,Age,snapshot_date,Note\nc1,1,2024-01-01,seen\n")
+    (tmp_path / "b.csv").write_text("Name,snapshot_date,Customer_ID\nDoe,2024-02-01,c2\n")
+    mart = Mart(str(tmp_path / "mart"))
+    etl.build_bronze(spark, {"attributes": [str(tmp_path / "a.csv")]}, mart)
+    etl.build_bronze(spark, {"attributes": [str(tmp_path / "b.csv")]}, mart)
+    assert rows(etl.read_bronze(spark, mart, "attributes")) == [
+        ("c1", None, "1", None, None, DAYS[0]), ("c2", "Doe", None, None, None, DAYS[1])
+    ]
+    stored = snapshots.read_split(spark, mart.bronze("attributes"), RAW_COLUMNS["attributes"])
+    assert rows(snapshots.extra_column(stored, "Note"), "Customer_ID", "Note") == [("c1", "seen"), ("c2", None)]
+
+
+def test_work_tables_go_with_their_block(spark, tmp_path):
+    with work_tables(spark):
+        kept = materialize(spark.range(3), "inner")
+        path = kept.inputFiles()[0].removeprefix("file:").replace("file://", "")
+        assert Path(path).exists()
+    assert not Path(path).parent.exists()
+
+
+def test_whole_table_replaces_old_partitions(spark, tmp_path):
+    path = str(tmp_path / "table")
+    snapshots.write_snapshots(panel(spark, [("a", 1, DAYS[0]), ("b", 2, DAYS[1])]), path, whole_table=True)
+    snapshots.write_snapshots(panel(spark, [("c", 3, DAYS[1])]).drop("v"), path, whole_table=True)
+    assert rows(snapshots.read_table(spark, path)) == [("c", DAYS[1])]
