@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Code points that a Python step holds at a time, one text at least.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 
 def row_key(*columns: str) -> Column:
@@ -42,17 +42,22 @@ def bounded_sample(rows: DataFrame, classes: str, per_class: int, key: str) -> D
 
 
 def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """``batch`` cut into runs of rows of about ``most`` characters, each with its texts; null texts are empty."""
-    texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-    start, held = 0, 0
-    for i, value in enumerate(texts):
-        texts[i] = value = value or ""
-        held += len(value) + 1
-        if held >= most:
-            yield batch.slice(start, i + 1 - start), texts[start : i + 1]
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield batch.slice(start), texts[start:]
+    """``batch`` cut into runs of rows of about ``most`` characters, each with its texts; null texts are empty.
+
+    Only the texts of one run are Python strings at a time.
+    """
+    column = batch.column(batch.schema.get_field_index(text))
+    start, held, texts = 0, 0, []
+    for at in range(0, len(column), 32):
+        for i, value in enumerate(column.slice(at, 32).to_pylist(), at):
+            texts.append(value or "")
+            held += len(texts[-1]) + 1
+            if held >= most:
+                yield batch.slice(start, i + 1 - start), texts
+                start, held, texts = i + 1, 0, []
+    if texts:
+        yield batch.slice(start), texts
+    pa.default_memory_pool().release_unused()
 
 
 def with_columns(batch: pa.RecordBatch, names: Sequence[str], columns: Sequence[pa.Array]) -> pa.RecordBatch:

@@ -34,6 +34,8 @@ STEP = 16  # signature values compared at a time
 TOLERANCE = 1e-6
 #: Shingles of one block of a component; a block holds one class at least.
 BLOCK_SHINGLES = 1_500_000
+#: Hashes of distinct words that a task keeps before it starts anew.
+KEPT_WORDS = 200_000
 _FACTORS = np.random.default_rng(77).integers(0, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.random.default_rng(78).integers(0, 1 << 63, N + 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -97,7 +99,7 @@ def sketches(docs: DataFrame, text: str) -> DataFrame:
         hashes = _WordHashes()
         for batch in batches:
             for part, texts in slices(batch, text):
-                if len(hashes) > 1_000_000:
+                if len(hashes) > KEPT_WORDS:
                     hashes.clear()
                 sets, sizes, signed = [], [], []
                 for value in texts:
@@ -285,6 +287,8 @@ def _grams(rows: DataFrame, text: str) -> DataFrame:
         hashes = _WordHashes()
         for batch in batches:
             for part, texts in slices(batch, text):
+                if len(hashes) > KEPT_WORDS:
+                    hashes.clear()
                 made = [shingles(value.split(), hashes).tobytes() for value in texts]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(made, pa.binary())], names=[*names, "grams"])
 

@@ -27,8 +27,8 @@ from snapmart.llm.common import bounded_sample, schema_with, slices, with_column
 UNKNOWN = "und"
 DOCS, WORDS = 400, 150
 BUCKETS = 1 << 17
-KEPT_WORDS = 300_000
-SLICE = 4_000_000
+KEPT_WORDS = 150_000
+SLICE = 2_000_000
 _WORD = re.compile(r"[^\W\d_]+")
 _FACTORS = np.random.default_rng(61).integers(0, 1 << 63, (5, 5), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OPEN, _CLOSE = ord("^"), ord("$")  # no letters, so they mark the ends of words
@@ -249,7 +249,7 @@ class Tagger:
         at = np.fromiter((number(w) for t in texts for w in t), np.int64, int(lengths.sum()))
         if len(self.known) > before:
             new = list(self.known)[before:]
-            made = [self.model.emissions(new[i : i + 50_000]) for i in range(0, len(new), 50_000)]
+            made = [self.model.emissions(new[i : i + 10_000]) for i in range(0, len(new), 10_000)]
             self.scores = np.concatenate([self.scores, *made])
         return marginals(self.scores[at], lengths, self.model.transitions), lengths
 
