@@ -12,7 +12,7 @@ from snapmart.llm.common import crc_fold
 from snapmart.session import materialize
 
 #: A text goes if no language has this share of its words.
-LEAST_SHARE = 0.4
+LEAST_SHARE = 0.3
 END_ID = 2
 
 
