@@ -129,7 +129,7 @@ def q_iqr_clean(spark, sf):
 
 
 def q_iqr_approx(spark, sf):
-    """Whether each approximate quartile is a value whose rank is off by at most 1 %."""
+    """Whether each approximate quartile is a value whose rank is off by at most 1 %, in whole ranks."""
     typed = clean.numbers_from_text(X.raw_financials(spark, sf), S.FINANCIAL_NUMBERS)
     numbers = materialize(typed.select(S.SNAPSHOT, *S.FINANCIAL_NUMBERS), "numbers")
     found = quantiles.approximate_quantiles(numbers, [S.SNAPSHOT], S.FINANCIAL_NUMBERS, [0.25, 0.75])
@@ -139,7 +139,7 @@ def q_iqr_approx(spark, sf):
         F.count("*").alias("n"), F.count_if(F.col("v") < F.col("value")).alias("below"),
         F.count_if(F.col("v") <= F.col("value")).alias("upto"),
     )
-    rank, slack = F.ceil(F.col("probability") * F.col("n")), 0.01 * F.col("n")
+    rank, slack = F.ceil(F.col("probability") * F.col("n")), F.ceil(0.01 * F.col("n"))
     near = (F.col("below") + 1 <= rank + slack) & (F.col("upto") >= rank - slack) & (F.col("upto") > F.col("below"))
     return ranked.select(S.SNAPSHOT, "column", "probability", near.alias("near"))
 
@@ -373,7 +373,7 @@ def q_one_hot(spark, sf):
 
 
 def q_standardize(spark, sf):
-    rows = materialize(feature_rows(spark, sf).na.drop("any"), "complete-features")
+    rows = materialize(feature_rows(spark, sf), "features").na.drop("any")
     fitted = dataset.fit_preprocessor(rows, categorical=[])
     return _rounded(fitted.input_columns(rows).select(S.ENTITY, S.SNAPSHOT, *S.NUMERIC_INPUTS), S.NUMERIC_INPUTS)
 
