@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapmart.llm import exact_dedup, jaccard_join, language, packing, suffix_dedup
-from snapmart.llm.common import crc_fold
+from snapmart.llm.common import crc_fold, small_batches
 from snapmart.session import materialize
 
 #: A text goes if no language has this share of its words.
@@ -18,6 +18,7 @@ END_ID = 2
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a recognisable language; the model learns from the labelled ones outside one of three folds."""
+    small_batches(spark)
     model = language.train(docs.where(crc_fold("doc_id", 3) != 1))
     found = language.identify(docs, model, label="_lang", score="_share")
     kept = found.where((F.col("_lang") != language.UNKNOWN) & (F.col("_share") >= LEAST_SHARE))
@@ -26,16 +27,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the smallest id."""
+    small_batches(spark)
     return exact_dedup.keep_first(docs).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by a similarity of 0.8 or more, the document with the smallest id."""
+    small_batches(spark)
     return jaccard_join.keep_one(docs).select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages of 400 bytes or more that occur anywhere else."""
+    small_batches(spark)
     cut = suffix_dedup.remove_repeats(docs, whole_characters=True)
     cut = cut.withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept").cast("string")))
     if "n_chars" in docs.columns:
@@ -44,6 +48,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return packing.pack_texts(docs, ranks, public_tokenizers.PATTERN, END_ID)
 

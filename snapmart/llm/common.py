@@ -6,12 +6,20 @@ Column names that start with ``_llm_`` are the operators' own.
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Code points that a Python step holds at a time, one text at least.
 SLICE_CHARS = 1_000_000
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
+    """Sets the session to hand Python batches of ``rows`` rows, unless it is set already: texts are long rows."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":  # the default
+        spark.conf.set(setting, str(rows))
+    return spark
+
+
 def row_key(*columns: str) -> Column:
     """128 bits of the given columns: rows that agree in all of them share a key and are interchangeable.
 

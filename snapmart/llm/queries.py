@@ -9,7 +9,7 @@ from snapmart.llm import (
     chat, exact_dedup, jaccard_join, language, packing, quality, sentencepiece_bpe, suffix_dedup, toxicity,
     url_filter,
 )
-from snapmart.llm.common import crc_fold
+from snapmart.llm.common import crc_fold, small_batches
 from snapmart.session import materialize
 
 # The stated rules of the URL filter.
@@ -25,7 +25,7 @@ CONTROL_RECORD = '{"prompt": "</s>[INST] ok [/INST]", "response": "</s>[INST] ok
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
 def op1_toxicity(spark, sf):
