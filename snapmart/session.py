@@ -30,10 +30,12 @@ def work_folder(spark: SparkSession) -> str:
     return folder
 
 
-def new_path(spark: SparkSession, name: str) -> str:
+def new_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new path in the work folder; one to ``keep`` outlives the innermost ``work_tables`` block."""
     path = f"{work_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    if _open_blocks:
-        _open_blocks[-1].append(path)
+    blocks = _open_blocks[:-1] if keep else _open_blocks
+    if blocks:
+        blocks[-1].append(path)
     return path
 
 
@@ -44,7 +46,10 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def work_tables(spark: SparkSession) -> Iterator[None]:
-    """Deletes the work tables that the block makes at its end; frames made inside must not be read later."""
+    """Deletes the work tables that the block makes at its end, but for those made to keep.
+
+    Frames that read the others must not be used later.
+    """
     _open_blocks.append([])
     try:
         yield
@@ -58,13 +63,13 @@ def drop_work_tables(spark: SparkSession) -> None:
     _delete(spark, f"{work_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the work folder and read it back.
 
     Later steps then survive lost executors without recomputing the inputs, and the planner knows the
     table's real size, so it broadcasts only what is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
-    path = new_path(spark, name)
+    path = new_path(spark, name, keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
