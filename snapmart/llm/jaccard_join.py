@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from snapmart.llm.common import row_key, slices
-from snapmart.session import materialize
+from snapmart.session import materialize, work_tables
 
 N = 5
 THRESHOLD = 0.8
@@ -128,19 +128,20 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     stars = materialize(stars, name)
     before = None
     while True:
-        # Large star: neighbours on both sides; larger ones are linked to the smallest of all.
-        both = stars.select(F.col("big").alias("u"), F.col("small").alias("v")).unionByName(
-            stars.select(F.col("small").alias("u"), F.col("big").alias("v"))
-        )
-        roots = both.groupBy("u").agg(F.min("v").alias("m"))
-        roots = roots.select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(roots, "u").select(F.col("v").alias("big"), F.col("m").alias("small")).distinct()
-        large = materialize(large, name)
-        # Small star: each node and its smaller neighbours are linked to the smallest of them.
-        roots = large.groupBy("big").agg(F.min("small").alias("m"))
-        linked = large.join(roots, "big").select(F.col("small").alias("big"), F.col("m").alias("small"))
-        stars = linked.where("big <> small").unionByName(roots.withColumnRenamed("m", "small")).distinct()
-        stars = materialize(stars, name)
+        with work_tables(edges.sparkSession):
+            # Large star: neighbours on both sides; larger ones are linked to the smallest of all.
+            both = stars.select(F.col("big").alias("u"), F.col("small").alias("v")).unionByName(
+                stars.select(F.col("small").alias("u"), F.col("big").alias("v"))
+            )
+            roots = both.groupBy("u").agg(F.min("v").alias("m"))
+            roots = roots.select("u", F.least("u", "m").alias("m"))
+            large = both.where("v > u").join(roots, "u").select(F.col("v").alias("big"), F.col("m").alias("small")).distinct()
+            large = materialize(large, name)
+            # Small star: each node and its smaller neighbours are linked to the smallest of them.
+            roots = large.groupBy("big").agg(F.min("small").alias("m"))
+            linked = large.join(roots, "big").select(F.col("small").alias("big"), F.col("m").alias("small"))
+            stars = linked.where("big <> small").unionByName(roots.withColumnRenamed("m", "small")).distinct()
+            stars = materialize(stars, name, keep=True)
         state = stars.agg(F.count(F.lit(1)), F.sum(F.xxhash64("big", "small").cast("decimal(38,0)"))).first()
         if state == before:
             break
@@ -297,6 +298,33 @@ def _grams(rows: DataFrame, text: str) -> DataFrame:
     return kept.mapInArrow(run, f"{kinds}, grams binary")
 
 
+def _all_links(classes, keyed, text, threshold, tolerance, block_shingles) -> DataFrame:
+    """What the tasks find for all components of candidates; see ``_links``."""
+    # Each band's value links its classes to the smallest of them.
+    cut = [F.xxhash64(F.lit(i), F.substring("signature", 1 + 4 * BAND * i, 4 * BAND)) for i in range(BANDS)]
+    bands = classes.select("node", F.explode(F.array(*cut)).alias("band"))
+    shared = bands.groupBy("band").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    edges = bands.join(shared.select("band", "a"), "band").where("node <> a").select("a", F.col("node").alias("b"))
+    roots = materialize(components(edges, "candidate-stars"), "candidates")
+
+    # Shingles are made again for candidates only. A component's blocks hold about equally many of them.
+    members = classes.join(roots, "node").select("node", "root", "copies", "signature", "n_grams", "first.row_a", "first.row_b")
+    weights = members.groupBy("root").agg(F.sum("n_grams").alias("w"))
+    weights = weights.select("root", F.ceil(F.col("w") / block_shingles).cast("int").alias("blocks"))
+    members = members.join(weights, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    texts = keyed.drop("key").join(members.drop("n_grams"), ["row_a", "row_b"])
+    texts = materialize(_grams(texts, text).dropDuplicates(["node"]).drop("row_a", "row_b"), "candidate-grams")
+    # A block meets each block from itself on: as the first of the pair, or as the second.
+    pair = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda o: F.struct(
+            F.least("block", o).alias("one"), F.greatest("block", o).alias("two"), (F.col("block") > o).cast("int").alias("side")
+        ),
+    )
+    dealt = texts.withColumn("_llm_p", F.explode(pair)).select("*", "_llm_p.one", "_llm_p.two", "_llm_p.side")
+    return _links(dealt.drop("_llm_p", "block", "blocks"), threshold, tolerance)
+
+
 def near_groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
     block_shingles: int = BLOCK_SHINGLES,
@@ -320,29 +348,8 @@ def near_groups(
     )
     classes = materialize(classes.withColumn("node", F.xxhash64("set_a", "set_b")), "classes")
 
-    # Each band's value links its classes to the smallest of them.
-    cut = [F.xxhash64(F.lit(i), F.substring("signature", 1 + 4 * BAND * i, 4 * BAND)) for i in range(BANDS)]
-    bands = classes.select("node", F.explode(F.array(*cut)).alias("band"))
-    shared = bands.groupBy("band").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    edges = bands.join(shared.select("band", "a"), "band").where("node <> a").select("a", F.col("node").alias("b"))
-    roots = materialize(components(edges, "candidate-stars"), "candidates")
-
-    # Shingles are made again for candidates only. A component's blocks hold about equally many of them.
-    members = classes.join(roots, "node").select("node", "root", "copies", "signature", "n_grams", "first.row_a", "first.row_b")
-    weights = members.groupBy("root").agg(F.sum("n_grams").alias("w"))
-    weights = weights.select("root", F.ceil(F.col("w") / block_shingles).cast("int").alias("blocks"))
-    members = members.join(weights, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = keyed.drop("key").join(members.drop("n_grams"), ["row_a", "row_b"])
-    texts = materialize(_grams(texts, text).dropDuplicates(["node"]).drop("row_a", "row_b"), "candidate-grams")
-    # A block meets each block from itself on: as the first of the pair, or as the second.
-    pair = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda o: F.struct(
-            F.least("block", o).alias("one"), F.greatest("block", o).alias("two"), (F.col("block") > o).cast("int").alias("side")
-        ),
-    )
-    dealt = texts.withColumn("_llm_p", F.explode(pair)).select("*", "_llm_p.one", "_llm_p.two", "_llm_p.side").drop("_llm_p", "block", "blocks")
-    links = materialize(_links(dealt, threshold, tolerance), "links")
+    with work_tables(docs.sparkSession):
+        links = materialize(_all_links(classes, keyed, text, threshold, tolerance, block_shingles), "links", keep=True)
 
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
     groups = components(links.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")), "stars")

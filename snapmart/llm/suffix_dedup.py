@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from snapmart.llm.common import row_key
-from snapmart.session import materialize
+from snapmart.session import materialize, work_tables
 
 LENGTH = 400
 #: Different contexts of one anchor that one task scans; an anchor with more is parted.
@@ -330,16 +330,19 @@ def _reaches(contexts: DataFrame, length: int, low: int, high: int, scanned: int
 def spans(keyed: DataFrame, text: str = "text", length: int = LENGTH, scanned: int = SCANNED) -> DataFrame:
     """``row_a, row_b, spans``: per document with repeats, the covered byte ranges, unmerged, one per anchor."""
     reach = Reach(length)
-    found = materialize(anchors(keyed, text, reach), "anchors")
-    # Stored, so that both sides of the join are plain and the partition of a frequent anchor is split.
-    shared = materialize(found.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k"), "anchors-twice")
-    again = materialize(found.join(shared, "k", "left_semi"), "anchors-shared")
-    firsts = again.groupBy("k", "c").agg(
-        F.count(F.lit(1)).alias("m"), F.min(F.struct("row_a", "row_b", "place")).alias("at")
-    )
-    contexts = _contexts(firsts, keyed, text, reach).dropDuplicates(["k", "c"])
-    reaches = _reaches(materialize(contexts, "contexts"), length, 0, reach.left, scanned)
-    reaches = materialize(reaches, "reaches")
+    spark = keyed.sparkSession
+    with work_tables(spark):
+        found = materialize(anchors(keyed, text, reach), "anchors")
+        # Stored, so that both sides of the join are plain and the partition of a frequent anchor is split.
+        twice = found.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k")
+        again = found.join(materialize(twice, "anchors-twice"), "k", "left_semi")
+        again = materialize(again, "anchors-shared", keep=True)
+    with work_tables(spark):
+        firsts = again.groupBy("k", "c").agg(
+            F.count(F.lit(1)).alias("m"), F.min(F.struct("row_a", "row_b", "place")).alias("at")
+        )
+        contexts = materialize(_contexts(firsts, keyed, text, reach).dropDuplicates(["k", "c"]), "contexts")
+        reaches = materialize(_reaches(contexts, length, 0, reach.left, scanned), "reaches", keep=True)
     place = F.struct((F.col("place") - F.col("l")).alias("start"), (F.col("place") + F.col("r")).alias("stop"))
     return again.join(reaches, ["k", "c"]).groupBy("row_a", "row_b").agg(F.collect_set(place).alias("spans"))
 
