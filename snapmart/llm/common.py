@@ -87,8 +87,10 @@ def schema_with(df: DataFrame, **added: str):
 def salted_left_join(rows: DataFrame, table: DataFrame, on: str, salts: int = 64) -> DataFrame:
     """``rows`` left-joined to ``table``, which has one row per value of ``on``; no value meets its rows in one task.
 
-    Each value's rows are dealt over ``salts`` tasks by all their columns; ``table`` is repeated for each salt.
+    Each value's rows are dealt over ``salts`` tasks by all their columns but maps, which have no hash; ``table`` is
+    repeated for each salt.
     """
+    hashed = [F.col(f"`{c}`") for c, kind in rows.dtypes if "map<" not in kind]
     copies = table.withColumn("_llm_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    dealt = rows.withColumn("_llm_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(salts)).cast("int"))
+    dealt = rows.withColumn("_llm_salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
     return dealt.join(copies, [on, "_llm_salt"], "left").drop("_llm_salt")
