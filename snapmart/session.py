@@ -40,8 +40,13 @@ def new_path(spark: SparkSession, name: str, keep: bool = False) -> str:
 
 
 def _delete(spark: SparkSession, path: str) -> None:
+    """Deletes the folder, and the application's own once nothing is left in it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(target, True)
+    above = target.getParent()
+    if above.getName() == spark.sparkContext.applicationId and system.exists(above) and not len(system.listStatus(above)):
+        system.delete(above, True)
 
 
 @contextmanager

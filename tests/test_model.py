@@ -1,5 +1,6 @@
 import random
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.ml import PipelineModel
@@ -10,6 +11,7 @@ from snapmart.operators import model
 from snapmart.operators.dataset import TrainingWindow, fit_preprocessor
 from snapmart.plans import monitoring, training
 from snapmart.plans.layout import Mart
+from snapmart.session import work_folder
 from snapmart.sources.snapshots import read_table, write_snapshots
 
 WINDOW = TrainingWindow(date(2024, 9, 1))
@@ -44,6 +46,11 @@ def test_saved_stages_make_the_inputs(spark, tmp_path):
     assert again == fitted.transform(feats).orderBy("Customer_ID").select("inputs").collect()
 
 
+def work_tables_left(spark):
+    folder = Path(work_folder(spark).removeprefix("file:")) / spark.sparkContext.applicationId
+    return sorted(p.name for p in folder.glob("*"))
+
+
 def test_draws_are_distinct_and_repeatable():
     draws = model.draw_settings(model.SEARCH_SPACE, 100, 42)
     assert len({tuple(d.items()) for d in draws}) == 100
@@ -56,7 +63,9 @@ def test_train_score_monitor(spark, tmp_path):
     labels, feats = stores(spark)
     write_snapshots(labels, mart.gold("label_store"))
     write_snapshots(feats, mart.gold("feature_store"))
+    before = work_tables_left(spark)
     name = training.run_training(spark, mart, WINDOW, draws=2, folds=2, space=SPACE, parallelism=2)
+    assert work_tables_left(spark) == before
     assert name == "gbt_credit_model_2024_09_01"
     training.run_training(spark, mart, WINDOW, draws=1, folds=2, space=SPACE)
     assert spark.read.parquet(mart.model("registry")).count() == 1
