@@ -238,13 +238,12 @@ def _links(dealt: DataFrame, threshold: float, tolerance: float) -> DataFrame:
     def linked(rows):
         first = [r for r in rows if r["side"] == 0]
         second = [r for r in rows if r["side"] == 1]
-        same = not second
-        if same and len(first) < 2:
+        # A block may be empty, so the pair's numbers say whether it is one block with itself, not its rows.
+        same = rows[0]["one"] == rows[0]["two"]
+        if len(first) < 2 if same else not first or not second:
             return
         a = block(first)
         b = a if same else block(second)
-        if not b[0] or not a[0]:
-            return
         x, y = _candidates(a[2], b[2], same)
         x, y = _pruned(a[2], b[2], x, y, threshold, tolerance)
         good = _verified(a[3], b[3], x, y, threshold)

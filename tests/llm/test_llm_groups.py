@@ -132,6 +132,15 @@ def test_jaccard_join_equals_brute_force(spark, block):
     assert sorted(map(tuple, found.collect()), key=repr) == _near(rows)
 
 
+@pytest.mark.parametrize("block", [150, 75, 40])
+def test_links_do_not_depend_on_empty_blocks(spark, block):
+    rnd = random.Random(21)
+    base = [f"w{rnd.randint(0, 5000)}" for _ in range(150)]
+    rows = [(i, " ".join(base[:-1] + [f"end{i}"])) for i in range(12)]
+    found = jaccard_join.near_groups(_df(spark, rows), block_shingles=block).select("key", "class_id", "copy_id", "n_links")
+    assert sorted(map(tuple, found.collect()), key=repr) == _near(rows)
+
+
 def test_one_document_of_each_group_stays(spark):
     rows = _near_rows()
     expected = {r[1] for r in _near(rows)}
