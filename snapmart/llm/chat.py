@@ -7,6 +7,10 @@ formatted; its text is its turns' pieces in order.
 Defined cases: a null text or role is empty. A record that is null, no JSON, or of an undeclared shape gives no turns and
 is listed by ``unknown_shapes``. Repeated rows are repeated turns. Turns that share a number are ordered by role and
 text. Field names of a record that are declared as extra are left out of its shape. Everything is DataFrame functions.
+
+Strings may have any length. A record is read as a variant, which holds 128 MiB; a larger record that is JSON stops
+``to_turns`` with an error, so that no turn goes silently. Rows of a table need no record of that size: their text stays in
+its column (``row``).
 """
 
 from collections.abc import Mapping, Sequence
@@ -25,6 +29,11 @@ CONTROL = (
 )
 MASKED_ROLE = "assistant"
 
+# As strict as try_parse_json, without its limit of 20 million characters a string.
+JSON = {"maxStringLen": str((1 << 31) - 1), "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+#: Bytes below which any JSON text fits a variant: a value takes less than eight times its JSON text.
+FITS_VARIANT = 1 << 24
+
 # Names that layouts use for the three roles. Fixed values.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
@@ -122,6 +131,17 @@ def _text(record: Column, path: str) -> Column:
     return F.coalesce(F.try_variant_get(record, path, "string"), F.lit(""))
 
 
+def parsed(record: Column) -> Column:
+    """JSON text as a variant; null if it is no JSON, or beyond a variant's size."""
+    return F.from_json(record, "variant", JSON)
+
+
+def _complete(record: Column, found: Column) -> Column:
+    """``found``, what ``parsed`` makes of ``record``; an error if the record is a JSON object and no variant only by its size."""
+    lost = (F.octet_length(record) > FITS_VARIANT) & F.from_json(record, "map<string,string>", JSON).isNotNull()
+    return F.coalesce(found, F.when(lost, F.raise_error(F.lit("a record is too large for a variant")).cast("variant")))
+
+
 def shape(record: Column, extra: Sequence[str] = ()) -> Column:
     """The nested field paths of a variant: its schema without types, and without the top fields in ``extra``.
 
@@ -145,29 +165,35 @@ def _declared(written: str) -> str:
 
 
 def to_turns(
-    records: DataFrame, record: str, layouts: Mapping = LAYOUTS, extra: Sequence[str] = ()
+    records: DataFrame, record: str, layouts: Mapping = LAYOUTS, extra: Sequence[str] = (), row: tuple[str, str] | None = None
 ) -> DataFrame:
     """``records`` with ``layout`` (null if unknown) and one row per turn: ``position, role, text``.
 
-    ``record`` names a column of JSON text. Records without a known layout give no rows here.
+    ``record`` names a column of JSON text. Records without a known layout give no rows here. ``row`` names columns with
+    the role and text of records that are one turn themselves; where they are not null they stand for the record's values,
+    so that the record only needs the paths.
     """
-    parsed = records.withColumn("_llm_v", F.try_parse_json(F.col(record)))
-    parsed = parsed.withColumn("_llm_f", fingerprint(shape(F.col("_llm_v"), extra)))
+    known = records.withColumn("_llm_v", _complete(F.col(record), parsed(F.col(record))))
+    known = known.withColumn("_llm_f", fingerprint(shape(F.col("_llm_v"), extra)))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for name, declared in layouts.items():
         fits = F.col("_llm_f").isin(*[fingerprint(F.lit(_declared(s))) for s in declared.shapes()])
         layout = F.when(fits, name).otherwise(layout)
-        turns = F.when(fits, declared.mapping(F.col("_llm_v")).cast(TURNS)).otherwise(turns)
-    named = parsed.withColumns({"layout": layout, "_llm_turns": turns}).drop("_llm_v", "_llm_f", "position", "role", "text")
+        mapped = declared.mapping(F.col("_llm_v"))
+        if row and isinstance(declared, Messages) and not declared.list_field:
+            own = {n: F.coalesce(F.col(c), mapped[0][n]).alias(n) for n, c in zip(("role", "text"), row)}
+            mapped = F.array(F.struct(own["role"], own["text"]))
+        turns = F.when(fits, mapped.cast(TURNS)).otherwise(turns)
+    named = known.withColumns({"layout": layout, "_llm_turns": turns}).drop("_llm_v", "_llm_f", "position", "role", "text")
     return named.select(
         *[c for c in named.columns if c != "_llm_turns"], F.posexplode("_llm_turns").alias("position", "_llm_turn")
     ).select("*", F.col("_llm_turn.role").alias("role"), F.col("_llm_turn.text").alias("text")).drop("_llm_turn")
 
 
 def unknown_shapes(records: DataFrame, record: str, layouts: Mapping = LAYOUTS, extra: Sequence[str] = ()) -> DataFrame:
-    """``shape, n``: what no layout covers, counted; a null shape is no JSON."""
+    """``shape, n``: what no layout covers, counted; a null shape is no JSON, or no variant."""
     known = [_declared(s) for declared in layouts.values() for s in declared.shapes()]
-    seen = records.select(shape(F.try_parse_json(F.col(record)), extra).alias("shape"))
+    seen = records.select(shape(parsed(F.col(record)), extra).alias("shape"))
     return seen.where(F.col("shape").isNull() | ~F.col("shape").isin(*known)).groupBy("shape").agg(
         F.count(F.lit(1)).alias("n")
     )

@@ -44,15 +44,15 @@ def op2_url_filters(spark, sf):
 
 
 def op3_chat_format(spark, sf):
+    # The record of a row has its paths; the values stay in their columns, however long they are.
+    paths = F.struct(*[F.when(F.col(c).isNotNull(), "").alias(c) for c in ("role", "text")])
     rows = _table(spark, sf, "conversations").select(
-        "conv_id",
-        "turn",
-        F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"),
+        "conv_id", "turn", "role", "text", F.to_json(paths, {"ignoreNullFields": "false"}).alias("record")
     )
     control = spark.range(1).select(
         F.lit(-1).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.lit(CONTROL_RECORD).alias("record")
     )
-    turns = chat.to_turns(rows.unionByName(control), "record")
+    turns = chat.to_turns(rows.unionByName(control, allowMissingColumns=True), "record", row=("role", "text"))
     read = chat.read_turns(chat.format_turns(turns))
     return chat.digest(read, "conv_id", ["turn", "position"])
 

@@ -10,7 +10,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from snapmart.llm import chat, language, quality, sentencepiece_bpe as pieces, toxicity, url_filter
+from snapmart.llm import chat, language, quality, queries, sentencepiece_bpe as pieces, toxicity, url_filter
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LONG = "word " * 60_000
@@ -272,6 +272,27 @@ def test_layouts_become_turns(spark):
         assert [(t.role, t.text) for t in turns if t.n == n] == expected
 
 
+def test_very_long_texts_stay(spark, tmp_path):
+    row = spark.range(1).select(
+        F.lit(1).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.lit("assistant").alias("role"),
+        F.repeat(F.lit("xyz"), F.lit(7_000_000)).alias("text"),
+    )
+    short = row.withColumns({"turn": F.lit(1).cast("long"), "role": F.lit(None).cast("string"), "text": F.lit(None).cast("string")})
+    row.unionByName(short).write.parquet(f"{tmp_path}/conversations.parquet")
+    found = {r.conv_id: r for r in queries.op3_chat_format(spark, str(tmp_path)).collect()}
+    text = "xyz" * 7_000_000
+    assert found[1].n_turns == 2 and found[1].loss_chars == len(text) and found[-1].n_turns == 2
+    assert found[1].loss_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert found[1].turns_sha256 == hashlib.sha256(f"assistant\n{text}\n\n\n".encode()).hexdigest()
+    # Also as JSON; records that no variant can hold are no silent loss.
+    record = F.to_json(F.struct(F.lit("p").alias("prompt"), F.col("text").alias("response"))).alias("record")
+    turns = chat.to_turns(row.select(record), "record").select("role", F.length("text").alias("n"))
+    assert sorted(map(tuple, turns.collect())) == [("assistant", len(text)), ("user", 1)]
+    huge = row.withColumn("text", F.repeat(F.lit("x"), F.lit(140_000_000))).select(record)
+    with pytest.raises(Exception, match="too large for a variant"):
+        chat.to_turns(huge, "record").select("role").collect()
+
+
 def test_unknown_shapes_are_listed(spark):
     df = spark.createDataFrame([('{"a": {"b": 1}}',), ('{"a": {"b": "x"}}',), ("no json",), (None,), (json.dumps(RECORDS[0][0]),)], "record string")
     assert {(r["shape"], r.n) for r in chat.unknown_shapes(df, "record").collect()} == {("{a:{b:>>", 2), (None, 2)}
