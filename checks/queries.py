@@ -411,6 +411,20 @@ def q_train_score(spark, sf):
     )
 
 
+def q_model_scores(spark, sf):
+    """The scores themselves: all rows of the three splits by a model of one setting."""
+    rows = _split(spark, sf)
+    train = rows.filter("split = 'train'")
+    scored = model.with_probability(model.fit(train, dataset.fit_preprocessor(train), **SETTING), rows)
+    return scored.select("loan_id", S.ENTITY, S.SNAPSHOT, "split", "label", "model_predictions")
+
+
+def q_random_search(spark, sf, **search):
+    """The whole search: its mean AUC, AUC and Gini of each split by the best model, and that model's settings."""
+    _, record, _ = training.train(labels(spark, sf), feature_rows(spark, sf), WINDOW, **search)
+    return record.select("model_name", "model_version", "results", "hp_params")
+
+
 def q_registry(spark, sf):
     """The dates, window lengths, sizes and rates of a registry record, one row each."""
     rows = _split(spark, sf)

@@ -96,3 +96,24 @@ def test_train_score_monitor(spark, tmp_path):
     assert drift["prediction_stability"].first().psi >= 0
     assert drift["concept_drift"].count() == 2
     assert drift["label_counts"].count() == 14
+
+
+def test_registered_search_is_whole_and_gives_its_results(spark, monkeypatch):
+    import inspect
+
+    from checks import queries as Q
+
+    assert "q_random_search" in Q.queries()
+    asked = {}
+    real = model.random_search
+
+    def one_setting(*given, draws, folds, **further):
+        asked.update(draws=draws, folds=folds)
+        return real(*given, draws=1, folds=2, space={k: v[:1] for k, v in model.SEARCH_SPACE.items()} | {"maxIter": [2]}, **further)
+
+    monkeypatch.setattr(model, "random_search", one_setting)
+    row = Q.q_random_search(spark, "/root/testdata/sf0.001").first()
+    defaults = inspect.signature(real).parameters
+    assert asked == {n: defaults[n].default for n in ("draws", "folds")} == {"draws": 100, "folds": 3}
+    assert {"auc_search", "auc_train", "gini_train", "auc_test", "gini_test"} <= set(row.results)
+    assert row.hp_params["maxIter"] == "2"
