@@ -272,6 +272,15 @@ def test_small_plans_are_optimal():
         assert sum(t for _, t in plan) == _fewest(sizes, 20)
 
 
+def test_the_search_has_the_steps_that_better_plans_need():
+    rnd = random.Random(16)
+    n, capacity = rnd.choice([60, 120, 300, 600]), rnd.choice([100, 200, 300])
+    low = capacity // rnd.choice([4, 8, 20])
+    counts = Counter(rnd.randint(max(2, low), capacity * rnd.choice([2, 3]) // 4) for _ in range(n))
+    few = sum(t for _, t in packing.plan_sequences(counts, capacity, 4000))
+    assert sum(t for _, t in packing.plan_sequences(counts, capacity)) == packing.lower_bound(counts, capacity) < few
+
+
 def _check_packing(rows, docs, capacity=1024, end=2):
     from tokenizers import Tokenizer
 
