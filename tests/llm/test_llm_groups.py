@@ -370,6 +370,19 @@ def test_stages_against_brute_force(spark):
     _check_packing(packed, [(k, r.text) for k, r in after.items()])
 
 
+@pytest.mark.parametrize("length, stays", [(399, True), (400, False)])
+def test_stage_cuts_passages_from_400_bytes_on(spark, length, stays):
+    rnd = random.Random(30)
+    letters = lambda n: "".join(rnd.choice("abcdefghij ") for _ in range(n))
+    passage = letters(length)
+    # Different characters around the passage, so that no longer string repeats.
+    rows = [(i, f"{letters(300)}{2 * i}{passage}{2 * i + 1}{letters(300)}") for i in range(3)]
+    stage = dict(corpus_pipeline.STAGES)["suffix_dedup"]
+    kept = stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert [passage in r.text for r in kept] == [stays] * 3
+    assert {r.doc_id: r.text for r in kept} == {i: t if stays else t.replace(passage, "") for i, t in rows}
+
+
 def test_pipeline_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
     for _, stage in corpus_pipeline.STAGES:
