@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapmart.llm import (
-    chat, exact_dedup, jaccard_join, language, packing, quality, sentencepiece_bpe, suffix_dedup, toxicity,
-    url_filter,
+    chat, exact_dedup, jaccard_join, language, mixing, packing, prefix_trie, quality, repair, sentencepiece_bpe, suffix_dedup,
+    toxicity, url_filter,
 )
 from snapmart.llm.common import crc_fold, small_batches
 from snapmart.session import materialize
@@ -115,5 +115,20 @@ def op10_exact_dedup(spark, sf):
     )
 
 
+def op11_prefix_trie(spark, sf):
+    placed = prefix_trie.placed_turns(_table(spark, sf, "conversations"))
+    return prefix_trie.trie(*prefix_trie.with_shared_heads(placed))
+
+
+def op12_mixing(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "certain")
+
+
+def op13_conversation_repair(spark, sf):
+    damaged = repair.damage(_table(spark, sf, "conversations"))
+    return repair.repairs(damaged, "key", present="present").withColumnRenamed("key", "conv_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
