@@ -111,13 +111,16 @@ class Model:
     lexicon: dict[str, int]
     lexicon_weights: np.ndarray  # language of the lexicon by language
     transitions: np.ndarray
+    seen: np.ndarray  # buckets that the training texts have
 
-    def emissions(self, words: list[str]) -> np.ndarray:
+    def emissions(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' scores, and the share of each word's features that the training texts have."""
         bucket, first = word_features(words)
         scores = np.add.reduceat(self.weights[bucket], first, axis=0)
         known = np.array([self.lexicon.get(w, -1) for w in words])
         scores[known >= 0] += self.lexicon_weights[known[known >= 0]]
-        return scores
+        familiar = np.add.reduceat(self.seen[bucket].astype(np.float32), first) / np.diff(np.r_[first, len(bucket)])
+        return scores, familiar
 
 
 def learned_lexicon(segments: list[tuple[list[str], int]], least: int = 2, share: float = 0.8) -> dict[str, int]:
@@ -162,8 +165,10 @@ def fit(
     languages = sorted({label for _, label in segments})
     n = len(languages)
     marked = [(words, languages.index(label)) for words, label in segments]
+    seen = np.zeros(BUCKETS, bool)
     if not any(words for words, _ in marked):
-        return Model([], np.zeros((BUCKETS, 0), np.float32), {}, np.zeros((0, 0), np.float32), np.zeros((0, 0), np.float32))
+        return Model([], np.zeros((BUCKETS, 0), np.float32), {}, np.zeros((0, 0), np.float32), np.zeros((0, 0), np.float32), seen)
+    seen[word_features(sorted({w for words, _ in marked for w in words}))[0]] = True
     lexicon = learned_lexicon(marked)
     texts, truth = code_switched(marked, n, sequences, rng)
     params = [np.zeros((BUCKETS, n), np.float32), np.zeros((n, n), np.float32), np.zeros((n, n), np.float32)]
@@ -202,7 +207,7 @@ def fit(
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 p -= rate * (m / (1 - 0.9**tick)) / (np.sqrt(v / (1 - 0.999**tick)) + 1e-6)
-    return Model(languages, params[0], lexicon, params[1], params[2])
+    return Model(languages, params[0], lexicon, params[1], params[2], seen)
 
 
 def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", docs: int = DOCS, words: int = WORDS) -> Model:
@@ -237,45 +242,57 @@ class Tagger:
 
     def __init__(self, model: Model):
         self.model, self.known = model, _Scored()
-        self.scores = np.empty((0, len(model.languages)), np.float32)
+        self.scores, self.familiar = np.empty((0, len(model.languages)), np.float32), np.empty(0, np.float32)
 
-    def posteriors(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """The posterior of each word's language, all texts in a row; how many words each text has."""
+    def posteriors(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The posterior of each word's language, all texts in a row; how familiar each is; how many words each text has."""
         if len(self.known) > KEPT_WORDS:
             self.known.clear()
-            self.scores = self.scores[:0]
+            self.scores, self.familiar = self.scores[:0], self.familiar[:0]
         before, number = len(self.known), self.known.__getitem__
         lengths = np.array([len(t) for t in texts], np.int64)
         at = np.fromiter((number(w) for t in texts for w in t), np.int64, int(lengths.sum()))
         if len(self.known) > before:
             new = list(self.known)[before:]
             made = [self.model.emissions(new[i : i + 10_000]) for i in range(0, len(new), 10_000)]
-            self.scores = np.concatenate([self.scores, *made])
-        return marginals(self.scores[at], lengths, self.model.transitions), lengths
+            self.scores = np.concatenate([self.scores, *[scores for scores, _ in made]])
+            self.familiar = np.concatenate([self.familiar, *[shares for _, shares in made]])
+        return marginals(self.scores[at], lengths, self.model.transitions), self.familiar[at], lengths
 
-    def label(self, texts: list[str]) -> tuple[list[str], list[float]]:
+    def label(self, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
+        """Language, score and familiarity of each text."""
+        labels, scores, shares = [UNKNOWN] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         if not self.model.languages:
-            return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        posterior, lengths = self.posteriors([words_of(t) for t in texts])
-        labels, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            return labels, scores, shares
+        posterior, familiar, lengths = self.posteriors([words_of(t) for t in texts])
         some = np.flatnonzero(lengths)
         if len(some):
             start = (np.cumsum(lengths) - lengths)[some]
             share = np.add.reduceat(posterior.astype(np.float64), start, axis=0) / lengths[some, None]
             best = share.argmax(axis=1)
-            for i, k, s in zip(some.tolist(), best.tolist(), share[np.arange(len(some)), best].tolist()):
-                labels[i], scores[i] = self.model.languages[k], min(1.0, s)
-        return labels, scores
+            met = np.add.reduceat(familiar.astype(np.float64), start) / lengths[some]
+            for i, k, s, m in zip(some.tolist(), best.tolist(), share[np.arange(len(some)), best].tolist(), met.tolist()):
+                labels[i], scores[i], shares[i] = self.model.languages[k], min(1.0, s), m
+        return labels, scores, shares
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", label: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the predicted language of each text and its share of the words."""
+def identify(
+    docs: DataFrame, model: Model, text: str = "text", label: str = "lang_pred", score: str = "score", familiar: str | None = None
+) -> DataFrame:
+    """``docs`` with the predicted language of each text and its share of the words.
+
+    Shares of the learned languages say nothing of others. ``familiar`` names a further column: the mean, over the text's
+    words, of the share of a word's features that the training texts have. It is near 1 for a learned language and low for
+    another script, another language or no language at all.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(model)
         for batch in batches:
             for part, texts in slices(batch, text, SLICE):
-                labels, scores = tagger.label(texts)
-                yield with_columns(part, [label, score], [pa.array(labels, pa.string()), pa.array(scores, pa.float64())])
+                labels, *numbers = tagger.label(texts)
+                columns = [pa.array(labels, pa.string()), *[pa.array(x, pa.float64()) for x in numbers]]
+                yield with_columns(part, names, columns[: len(names)])
 
-    return docs.mapInArrow(run, schema_with(docs, **{label: "string", score: "double"}))
+    names = [label, score, *([familiar] if familiar else [])]
+    return docs.mapInArrow(run, schema_with(docs, **{label: "string"}, **{n: "double" for n in names[1:]}))

@@ -368,18 +368,19 @@ def _whole_characters(data: bytes, start: int, stop: int) -> tuple[int, int]:
 
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, whole_characters: bool = False,
-    scanned: int = SCANNED,
+    scanned: int = SCANNED, least_words: int = 0, spans_as: str = "spans", kept_as: str = "kept",
 ) -> DataFrame:
     """``docs`` with ``spans`` (merged byte ranges that repeat) and ``kept`` (the other bytes, as binary).
 
-    With ``whole_characters``, characters that lie in a range only in part stay, so that ``kept`` is text again.
+    With ``whole_characters``, characters that lie in a range only in part stay, so that ``kept`` is text again. Merged
+    ranges that touch fewer than ``least_words`` words stay as well. ``spans_as`` and ``kept_as`` name the two results.
     """
-    keyed = docs.drop("spans", "kept").withColumn("_llm_id", row_key(key, text))
+    keyed = docs.drop(spans_as, kept_as).withColumn("_llm_id", row_key(key, text))
     ids = F.col("_llm_id.a").alias("row_a"), F.col("_llm_id.b").alias("row_b")
     ranges = spans(keyed.select(*ids, text), text, length, scanned)
-    ranges = ranges.select(F.struct(F.col("row_a").alias("a"), F.col("row_b").alias("b")).alias("_llm_id"), "spans")
+    ranges = ranges.select(F.struct(F.col("row_a").alias("a"), F.col("row_b").alias("b")).alias("_llm_id"), F.col("spans").alias(spans_as))
     joined = keyed.join(ranges, "_llm_id", "left").drop("_llm_id")
-    names = [c for c in joined.columns if c != "spans"]
+    names = [c for c in joined.columns if c != spans_as]
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,18 +393,20 @@ def remove_repeats(
                     own = merged([(s["start"], s["stop"]) for s in own])
                     if whole_characters:
                         own = merged([r for r in (_whole_characters(data, *r) for r in own) if r[0] < r[1]])
+                    if least_words:
+                        own = [(a, b) for a, b in own if len(data[a:b].split()) >= least_words]
                     edges = [0, *[e for r in own for e in r], len(data)]
                     cut.append([{"start": a, "stop": b} for a, b in own])
                     kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(cut, part.schema[-1].type), pa.array(kept, pa.binary())],
-                    names=[*names, "spans", "kept"],
+                    names=[*names, spans_as, kept_as],
                 )
 
-    repeated = joined.where(F.col("spans").isNotNull()).select(*names, "spans")
-    none = F.array().cast(joined.schema["spans"].dataType)
-    clean = joined.where(F.col("spans").isNull()).select(
-        *names, none.alias("spans"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("kept")
+    repeated = joined.where(F.col(spans_as).isNotNull()).select(*names, spans_as)
+    none = F.array().cast(joined.schema[spans_as].dataType)
+    clean = joined.where(F.col(spans_as).isNull()).select(
+        *names, none.alias(spans_as), F.coalesce(F.col(text), F.lit("")).cast("binary").alias(kept_as)
     )
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in clean.schema.fields)
     return clean.unionByName(repeated.mapInArrow(run, kinds))

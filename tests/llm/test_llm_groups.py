@@ -360,9 +360,10 @@ def test_stages_against_brute_force(spark):
     before = {r.doc_id: r.text for r in kept.collect()}
     kept = stage["suffix_dedup"](spark, kept, "")
     after = {r.doc_id: r for r in kept.collect()}
-    expected = _repeats([before[k] for k in sorted(before)], 400)
+    expected = _repeats([before[k] for k in sorted(before)], 255)
     for key, spans in zip(sorted(before), expected):
         data = before[key].encode()
+        spans = [(a, b) for a, b in spans if len(data[a:b].split()) > 50]
         assert after[key].text.encode() == b"".join(data[a:b] for a, b in zip([0, *[s[1] for s in spans]], [*[s[0] for s in spans], len(data)]))
         assert after[key].n_chars == len(after[key].text)
     assert all(passage not in after[30 + i].text for i in range(3))
@@ -370,17 +371,66 @@ def test_stages_against_brute_force(spark):
     _check_packing(packed, [(k, r.text) for k, r in after.items()])
 
 
-@pytest.mark.parametrize("length, stays", [(399, True), (400, False)])
-def test_stage_cuts_passages_from_400_bytes_on(spark, length, stays):
+@pytest.mark.parametrize(
+    "words, letters, stays",
+    [(50, 8, True), (51, 8, False), (51, 4, False), (60, 6, False), (200, 5, False), (30, 20, True), (51, 3, True)],
+)
+def test_stage_cuts_passages_of_over_fifty_words(spark, words, letters, stays):
+    """Of words of four letters and more; 51 words of three letters are below the stage's bytes."""
     rnd = random.Random(30)
-    letters = lambda n: "".join(rnd.choice("abcdefghij ") for _ in range(n))
-    passage = letters(length)
-    # Different characters around the passage, so that no longer string repeats.
-    rows = [(i, f"{letters(300)}{2 * i}{passage}{2 * i + 1}{letters(300)}") for i in range(3)]
+    word = lambda n: "".join(rnd.choice("abcdefghij") for _ in range(n))
+    passage = " ".join(word(letters) for _ in range(words))
+    # Different words around the passage, so that no longer string repeats.
+    around = lambda i: " ".join(word(7) for _ in range(40))
+    rows = [(i, f"{around(i)} {2 * i}\n{passage}\n{2 * i + 1} {around(i)}") for i in range(3)]
     stage = dict(corpus_pipeline.STAGES)["suffix_dedup"]
-    kept = stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
-    assert [passage in r.text for r in kept] == [stays] * 3
-    assert {r.doc_id: r.text for r in kept} == {i: t if stays else t.replace(passage, "") for i, t in rows}
+    kept = {r.doc_id: r.text for r in stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert [passage in kept[i] for i in range(3)] == [stays] * 3
+    if stays:
+        assert kept == dict(rows)
+    else:
+        assert kept == {i: t.replace(f"\n{passage}\n", "") for i, t in rows}
+
+
+def test_stages_leave_further_columns_alone(spark):
+    """Columns named like results, very long texts, ties, repeated rows and nulls, through all stages but the last."""
+    rnd = random.Random(31)
+    text = lambda n: " ".join(rnd.choice(["lorem", "ipsum", "dolor", "sit", "amet"]) + str.lower(chr(97 + rnd.randrange(26))) * 3 for _ in range(n))
+    passage = text(80)
+    rows = [(i, text(70), "xx") for i in range(12)] + [(20 + i, f"{text(40)} {passage} {text(40)}", None) for i in range(3)]
+    rows += [(30, text(60_000), "xx"), (31, rows[0][1], "xx"), (0, rows[0][1], "xx"), (None, rows[1][1], None), (40, None, "xx"), (41, "", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    named = ("kept", "spans", "_lang", "_share", "lang_pred", "score", "key", "keep_key", "class_id", "n", "h", "sha", "row_a", "is_first", "u", "node")
+    docs = docs.withColumns({c: F.concat(F.lit(f"{c} "), F.coalesce("text", F.lit("none"))) for c in named})
+    docs = docs.withColumn("tags", F.create_map(F.lit("a"), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, columns = docs, docs.columns
+        docs = stage(spark, docs, "")
+        assert docs.columns == columns
+        if name != "suffix_dedup":
+            assert all(r[c] == f"{c} {r.text}" for r in docs.collect() for c in named)
+    found = docs.collect()
+    assert sorted(r.doc_id for r in found) == [*range(12), 20, 21, 22, 30]
+    was = {r.doc_id: r for r in before.collect()}
+    for r in found:
+        assert all(r[c] == was[r.doc_id][c] for c in named) and r.tags == {"a": r.doc_id}
+        assert passage not in r.text and (r.doc_id >= 20 or r.text == was[r.doc_id].text)
+
+
+def test_language_stage_rejects_what_no_language_was_learned_from(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    rnd = random.Random(32)
+    junk = " ".join("".join(rnd.choice("bcdfgjkqvwxz") for _ in range(rnd.randint(3, 9))) for _ in range(80))
+    strange = {
+        -1: "这是一个没有学过的语言的文本。" * 20, -2: "Это текст на языке, которого модель не знает. " * 10, -3: junk, -4: "12 34 !!",
+        -5: "Ez egy magyar nyelvű szöveg, amelyet a modell sohasem látott, így hát nem is ismerheti a szavait egyáltalán. " * 8,
+    }
+    added = spark.createDataFrame([(k, t, None, "s", len(t)) for k, t in strange.items()], docs.schema)
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["language_id"](spark, docs.unionByName(added), sf).select("doc_id").collect()}
+    assert not kept & {-1, -2, -3, -4}
+    lettered = {r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+    assert len(kept & lettered) >= 0.995 * len(lettered)
 
 
 def test_pipeline_of_an_empty_table(spark):

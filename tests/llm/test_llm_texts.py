@@ -100,7 +100,7 @@ def test_code_switched_words_get_their_own_language(tongues):
     words, model = tongues
     rnd = random.Random(5)
     mixed = [rnd.choice(words["aa"]) for _ in range(12)] + [rnd.choice(words["bb"]) for _ in range(12)]
-    posterior, _ = language.Tagger(model).posteriors([mixed])
+    posterior, _, _ = language.Tagger(model).posteriors([mixed])
     labels = posterior.argmax(axis=1)
     assert (labels == [0] * 12 + [1] * 12).mean() > 0.9
 
