@@ -2,6 +2,7 @@
 
 Stages take (spark, docs, sf_dir) and return the columns of ``docs``; the last returns packed pieces. Repeated rows are
 documents of their own until exact dedup; null texts have no language and go. An empty table gives an empty result.
+Further columns come back as they were, whatever their names; names that start with ``_llm_`` are the stages' own.
 """
 
 import public_tokenizers
@@ -11,8 +12,10 @@ from snapmart.llm import exact_dedup, jaccard_join, language, packing, suffix_de
 from snapmart.llm.common import crc_fold, small_batches
 from snapmart.session import materialize
 
-#: A text goes if no language has this share of its words.
-LEAST_SHARE = 0.3
+#: A text goes if, on average, fewer of a word's n-grams occur in the texts that the languages were learned from.
+LEAST_FAMILIAR = 0.5
+#: Repeated passages are cut that have these words or more, and these bytes or more: 51 words of 4 letters and a space.
+PASSAGE_WORDS, PASSAGE_BYTES = 51, 255
 END_ID = 2
 
 
@@ -20,8 +23,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents in a recognisable language; the model learns from the labelled ones outside one of three folds."""
     small_batches(spark)
     model = language.train(docs.where(crc_fold("doc_id", 3) != 1))
-    found = language.identify(docs, model, label="_lang", score="_share")
-    kept = found.where((F.col("_lang") != language.UNKNOWN) & (F.col("_share") >= LEAST_SHARE))
+    found = language.identify(docs, model, label="_llm_lang", score="_llm_share", familiar="_llm_familiar")
+    kept = found.where((F.col("_llm_lang") != language.UNKNOWN) & (F.col("_llm_familiar") >= LEAST_FAMILIAR))
     return kept.select(*docs.columns)
 
 
@@ -38,10 +41,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages of 400 bytes or more that occur anywhere else."""
+    """All documents, without the passages of over 50 words that occur anywhere else.
+
+    A passage is a run of bytes in which every byte lies in a string of ``PASSAGE_BYTES`` that occurs twice.
+    """
     small_batches(spark)
-    cut = suffix_dedup.remove_repeats(docs, whole_characters=True)
-    cut = cut.withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept").cast("string")))
+    cut = suffix_dedup.remove_repeats(
+        docs, length=PASSAGE_BYTES, whole_characters=True, least_words=PASSAGE_WORDS, spans_as="_llm_spans", kept_as="_llm_kept"
+    )
+    cut = cut.withColumn("text", F.when(F.col("text").isNotNull(), F.col("_llm_kept").cast("string")))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return cut.select(*docs.columns)
