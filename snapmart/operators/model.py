@@ -2,42 +2,49 @@
 
 import itertools
 import random
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from snapmart.operators import boosting
+from snapmart.operators.boosting import Fit, Grower
 from snapmart.operators.dataset import Preprocessor, TrainingWindow, stratified_folds
+from snapmart.operators.monitor import auc
 from snapmart.schemas import ENTITY, SNAPSHOT
-from snapmart.session import materialize
+from snapmart.session import work_tables
 
-# The search space. The names are Spark's; L1 and L2 penalties have no counterpart there.
+KEYS = ("loan_id", ENTITY, SNAPSHOT)
+
+# The search space.
 SEARCH_SPACE = {
     "maxIter": [25, 50],
     "maxDepth": [2, 3],
     "stepSize": [0.01, 0.1],
     "subsamplingRate": [0.6, 0.8],
-    "featureSubsetStrategy": ["0.6", "0.8"],
-    "minInfoGain": [0.0, 0.1],
-    "minInstancesPerNode": [1, 3, 5],
+    "columnShare": [0.6, 0.8],
+    "minGain": [0.0, 0.1],
+    "minHessian": [1, 3, 5],
+    "l1": [0.0, 0.1, 1.0],
+    "l2": [1.0, 1.5, 2.0],
 }
 
 
-def classifier(seed: int = 88, **params) -> GBTClassifier:
-    return GBTClassifier(featuresCol="inputs", labelCol="label", lossType="logistic", seed=seed).setParams(**params)
-
-
-def prepare(df: DataFrame, fitted: Preprocessor, extra=()) -> DataFrame:
-    """The assembled inputs, the label, and nothing else that a fit would have to carry."""
-    return fitted.transform(df).select("inputs", F.col("label").cast("double").alias("label"), *extra)
+def prepare(df: DataFrame, fitted: Preprocessor, keys: Sequence[str] = KEYS, keep: Sequence[str] = ()) -> boosting.Binned:
+    """The binned inputs, the label, a number drawn for each row by its key, and the columns to keep."""
+    rows = fitted.transform(df).select(
+        "inputs", F.col("label").cast("double").alias("label"), boosting.row_draw(keys).alias("draw"), *keep
+    )
+    return boosting.binned(rows, len(fitted.names), keep)
 
 
-def fit(train: DataFrame, fitted: Preprocessor, seed: int = 88, **params) -> PipelineModel:
-    return PipelineModel([*fitted.stages, classifier(seed, **params).fit(prepare(train, fitted))])
+def fit(train: DataFrame, fitted: Preprocessor, seed: int = 88, keys: Sequence[str] = KEYS, **params) -> PipelineModel:
+    """A model of one setting; see ``boosting.DEFAULTS`` for its parameters."""
+    with work_tables(train.sparkSession):
+        grower = Grower(prepare(train, fitted, keys), [Fit(params)], seed)
+        grower.grow()
+        return PipelineModel([*fitted.stages, boosting.grown_model(grower)])
 
 
 def draw_settings(space: dict[str, list], draws: int, seed: int) -> list[dict]:
@@ -46,37 +53,45 @@ def draw_settings(space: dict[str, list], draws: int, seed: int) -> list[dict]:
     return random.Random(seed).sample(everything, min(draws, len(everything)))
 
 
+def fold_areas(grower: Grower, folds: int) -> dict[int, float | None]:
+    """Exact AUC of each fit over the fold that it did not see; fit i left out fold ``i % folds``."""
+    unseen = F.transform(
+        F.sequence(F.col("fold").cast("int"), F.lit(len(grower.fits) - 1), F.lit(folds)),
+        lambda i: F.struct(i.alias("fit"), F.get("margins", i).alias("score")),
+    )
+    scored = boosting.margins_of(grower, ["label", "fold"]).select("label", F.inline(unseen))
+    return {r["fit"]: r["auc"] for r in auc(scored, "score", "label", ["fit"]).collect()}  # one row per fit
+
+
 def random_search(
     train: DataFrame,
     fitted: Preprocessor,
-    keys=("loan_id", ENTITY, SNAPSHOT),
+    keys: Sequence[str] = KEYS,
     space: dict[str, list] = SEARCH_SPACE,
     draws: int = 100,
     folds: int = 3,
     seed: int = 42,
     model_seed: int = 88,
-    parallelism: int = 4,
 ) -> tuple[PipelineModel, dict, float]:
     """Best of ``draws`` random settings by cross-validated AUC, refitted on all rows.
 
     Gives the model, its settings and its mean AUC over the folds. Folds have equal shares of each label and follow from
-    the row's key, so a fold holds the same rows in every fit. AUC is exact, without binned scores.
+    the row's key. The fits of all settings and folds grow together; of equally good settings the first drawn one wins.
     """
-    rows = materialize(prepare(stratified_folds(train, folds, keys=keys, seed=seed), fitted, ["fold"]), "search-rows")
-    estimator = classifier(model_seed)
     settings = draw_settings(space, draws, seed)
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=[{estimator.getParam(k): v for k, v in s.items()} for s in settings],
-        evaluator=BinaryClassificationEvaluator(labelCol="label", numBins=0),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=seed,
-    )
-    searched = search.fit(rows)
-    best = max(range(len(settings)), key=lambda i: searched.avgMetrics[i])
-    return PipelineModel([*fitted.stages, searched.bestModel]), settings[best], float(searched.avgMetrics[best])
+    with work_tables(train.sparkSession):
+        data = prepare(stratified_folds(train, folds, keys=keys, seed=seed), fitted, keys, ["fold"])
+        grower = Grower(data, [Fit(s, fold) for s in settings for fold in range(folds)], model_seed, "fold")
+        grower.grow()
+        areas = fold_areas(grower, folds)
+        means = []
+        for i in range(len(settings)):
+            known = [a for a in (areas.get(i * folds + f) for f in range(folds)) if a is not None]
+            means.append(sum(known) / len(known) if known else float("-inf"))
+        best = max(range(len(settings)), key=means.__getitem__)
+        final = Grower(data, [Fit(settings[best])], model_seed)
+        final.grow()
+        return PipelineModel([*fitted.stages, boosting.grown_model(final)]), settings[best], means[best]
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -90,7 +105,7 @@ def load_model(path: str) -> PipelineModel:
 def with_probability(model: PipelineModel, df: DataFrame, column: str = "model_predictions") -> DataFrame:
     """All columns of ``df`` and the probability of the positive class."""
     scored = model.transform(df)
-    return scored.select(*df.columns, vector_to_array("probability")[1].alias(column))
+    return scored.select(*df.columns, F.col("probability").alias(column))
 
 
 def score_snapshots(model: PipelineModel, features: DataFrame, snapshots: list, model_name: str) -> DataFrame:

@@ -7,13 +7,15 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from snapmart import schemas as S
-from snapmart.operators import model
+from snapmart.operators import boosting, model
 from snapmart.operators.dataset import TrainingWindow, fit_preprocessor
 from snapmart.plans import monitoring, training
 from snapmart.plans.layout import Mart
 from snapmart.session import work_folder
 from snapmart.sources.snapshots import read_table, write_snapshots
 
+from conftest import rows
+
 WINDOW = TrainingWindow(date(2024, 9, 1))
 SPACE = {"maxIter": [2], "maxDepth": [2], "stepSize": [0.1, 0.3]}
 
@@ -64,12 +66,12 @@ def test_train_score_monitor(spark, tmp_path):
     write_snapshots(labels, mart.gold("label_store"))
     write_snapshots(feats, mart.gold("feature_store"))
     before = work_tables_left(spark)
-    name = training.run_training(spark, mart, WINDOW, draws=2, folds=2, space=SPACE, parallelism=2)
+    name = training.run_training(spark, mart, WINDOW, draws=2, folds=2, space=SPACE)
     assert work_tables_left(spark) == before
     assert name == "gbt_credit_model_2024_09_01"
     training.run_training(spark, mart, WINDOW, draws=1, folds=2, space=SPACE)
     assert spark.read.parquet(mart.model("registry")).count() == 1
-    training.run_training(spark, mart, WINDOW, draws=2, folds=2, space=SPACE, parallelism=2)
+    training.run_training(spark, mart, WINDOW, draws=2, folds=2, space=SPACE)
     record = spark.read.parquet(mart.model("registry")).first()
     assert record.data_config == {"train_test_period_months": 12.0, "oot_period_months": 2.0, "train_test_ratio": 0.8}
     assert record.results["auc_search"] > 0.8
@@ -98,22 +100,36 @@ def test_train_score_monitor(spark, tmp_path):
     assert drift["label_counts"].count() == 14
 
 
-def test_registered_search_is_whole_and_gives_its_results(spark, monkeypatch):
-    import inspect
-
-    from checks import queries as Q
-
-    assert "q_random_search" in Q.queries()
-    asked = {}
-    real = model.random_search
-
-    def one_setting(*given, draws, folds, **further):
-        asked.update(draws=draws, folds=folds)
-        return real(*given, draws=1, folds=2, space={k: v[:1] for k, v in model.SEARCH_SPACE.items()} | {"maxIter": [2]}, **further)
-
-    monkeypatch.setattr(model, "random_search", one_setting)
-    row = Q.q_random_search(spark, "/root/testdata/sf0.001").first()
-    defaults = inspect.signature(real).parameters
-    assert asked == {n: defaults[n].default for n in ("draws", "folds")} == {"draws": 100, "folds": 3}
-    assert {"auc_search", "auc_train", "gini_train", "auc_test", "gini_test"} <= set(row.results)
-    assert row.hp_params["maxIter"] == "2"
+def test_search_is_the_same_again_and_the_best_of_all_settings(spark):
+    """Every setting cross-validated by itself, fold by fold, against the one search."""
+    labels, feats = stores(spark)
+    train = labels.join(feats, ["Customer_ID", "snapshot_date"])
+    fitted = fit_preprocessor(train)
+    space = {"maxIter": [3], "maxDepth": [1, 2], "stepSize": [0.3], "l2": [1.0, 50.0], "subsamplingRate": [0.7], "minHessian": [1, 20]}
+    first = model.random_search(train, fitted, space=space, draws=5)
+    again = model.random_search(train.repartition(5), fitted, space=space, draws=5)
+    assert first[1:] == again[1:]
+    assert first[0].stages[-1].getOrDefault("trees") == again[0].stages[-1].getOrDefault("trees")
+    settings, folded = model.draw_settings(space, 5, 42), model.stratified_folds(train, 3, seed=42)
+    means = []
+    for setting in settings:
+        areas = []
+        for fold in range(3):
+            # Cuts are those of all rows, so the other folds alone may give other trees: the search's own are grown here.
+            data = model.prepare(folded, fitted, keep=["fold"])
+            grower = model.Grower(data, [model.Fit(setting, fold)], 88, "fold")
+            grower.grow()
+            scored = model.boosting.grown_model(grower).transform(fitted.transform(folded.filter(F.col("fold") == fold)))
+            got = scored.select("label", "probability").collect()
+            pos, neg = ([r.probability for r in got if r.label == v] for v in (1, 0))
+            areas.append(sum((a > b) + (a == b) / 2 for a in pos for b in neg) / len(pos) / len(neg))
+        means.append(sum(areas) / 3)
+    assert first[2] == pytest.approx(max(means)) and first[1] == settings[means.index(max(means))]
+    days = [r[0] for r in feats.select("snapshot_date").distinct().collect()]
+    scores = [rows(model.score_snapshots(m, feats, days, "m")) for m in (first[0], again[0])]
+    assert scores[0] == scores[1]
+
+
+def test_the_space_has_nine_parameters():
+    assert set(model.SEARCH_SPACE) == set(boosting.DEFAULTS) and len(boosting.DEFAULTS) == 9
+    assert len(model.draw_settings(model.SEARCH_SPACE, 10_000, 1)) == 1728
