@@ -390,6 +390,102 @@ sides AS (
   UNION ALL SELECT 'oot', label FROM frame WHERE snapshot_date >= DATE '1999-01-01'),
 side_stats AS (SELECT split, count(*)::DOUBLE AS n, round(avg(label), 2) AS rate FROM sides GROUP BY split)"""
 
+# The setting of the registered models; rounds, depth, step and shares as in checks/queries.py.
+ROUNDS, DEPTH, STEP, ROW_SHARE, COLUMN_SHARE, LEAST_GAIN, LEAST_HESSIAN, L1, L2 = 25, 3, 0.1, 0.8, 0.6, 0.01, 1, 0.1, 1.5
+_MODEL_COLUMNS = ", ".join([*INPUT_NUMBERS, "Credit_Mix", "Payment_Behaviour", "Occupation"])
+
+
+def _boosted(samples: str) -> str:
+    """Boosting in SQL: CTEs after a ``samples`` CTE, the last of which, ``chances``, has ``id`` and ``model_predictions``.
+
+    Samples have id, train, label, draw and the inputs. A step of the recursion is one level of one tree: the rows of a level
+    are summed up by node, feature and bin, the best cut of each node is taken, and the rows move on; after the last level the
+    weight of its leaf is added to each row. Nodes are numbered 1, then 2n and 2n + 1. Sums are in units of 2^-30.
+    """
+    from snapmart.operators.boosting import row_factors
+
+    factors = ", ".join("({}, {}::BIGINT, {}::BIGINT)".format(t, *row_factors(88, t)) for t in range(ROUNDS))
+    unit, steps = "1073741824::DOUBLE", ROUNDS * (DEPTH + 1)
+
+    def pulled(g: str) -> str:
+        return f"(sign({g} / {unit}) * greatest(abs({g} / {unit}) - {L1}::DOUBLE, 0))"
+
+    def score(g: str, h: str) -> str:
+        return f"{pulled(g)} * {pulled(g)} / ({h} / {unit} + {L2}::DOUBLE)"
+
+    texts = " UNION ALL ".join(
+        f"SELECT id, train, {i} AS place, nullif({c}, '_') AS level FROM samples"
+        for i, c in enumerate(["Credit_Mix", "Payment_Behaviour", "Occupation"])
+    )
+    numbers = " UNION ALL ".join(f"SELECT id, train, {j} AS j, {c}::DOUBLE AS x FROM samples" for j, c in enumerate(INPUT_NUMBERS))
+    return f"""
+{samples},
+texts AS ({texts}),
+known_levels AS (
+  SELECT place, level, {len(INPUT_NUMBERS)} - 1 + row_number() OVER (ORDER BY place, level) AS j
+  FROM (SELECT DISTINCT place, level FROM texts WHERE train AND level IS NOT NULL)),
+long_values AS (
+  {numbers}
+  UNION ALL SELECT id, train, j, (t.level IS NOT DISTINCT FROM k.level)::INTEGER::DOUBLE FROM texts t JOIN known_levels k USING (place)),
+cut_lists AS (
+  SELECT j, list_distinct(list_transform(range(1, 64), lambda i: list_sort(list(x))[ceil(i / 64::DOUBLE * count(*))::BIGINT])) AS cuts
+  FROM long_values WHERE train GROUP BY j),
+bins AS (
+  SELECT id, j, len(list_filter(cuts, lambda c: c < x)) AS bin FROM long_values JOIN cut_lists USING (j)),
+features_in AS (SELECT count(*) AS n FROM cut_lists),
+allowed AS (
+  SELECT t, j FROM (
+    SELECT t, j, row_number() OVER (PARTITION BY t ORDER BY md5('88|' || t || '|' || j)) AS place FROM cut_lists, range({ROUNDS}) AS r(t)), features_in
+  WHERE place <= greatest(1, floor({COLUMN_SHARE}::DOUBLE * n + 1e-9::DOUBLE))),
+factors(t, a, b) AS (VALUES {factors}),
+base AS (SELECT ln(share / (1 - share)) AS margin FROM (SELECT greatest(least(avg(label), 1 - 1e-6::DOUBLE), 1e-6::DOUBLE) AS share FROM samples WHERE train)),
+states AS (
+  SELECT 0 AS step, id, base.margin, 1::BIGINT AS node FROM samples, base
+  UNION ALL
+  SELECT * FROM (
+    WITH here AS (
+      SELECT *, step // {DEPTH + 1} AS t, step % {DEPTH + 1} AS level, 1 / (1 + exp(-margin)) AS p FROM states WHERE step < {steps}),
+    grads AS (
+      SELECT id, node, t, level, round_even((p - label) * {unit}, 0)::BIGINT AS g, round_even(p * (1 - p) * {unit}, 0)::BIGINT AS h
+      FROM here JOIN samples USING (id) JOIN factors USING (t)
+      WHERE train AND (draw * a + b) % 2147483647 < {ROW_SHARE}::DOUBLE * 2147483647),
+    totals AS (SELECT node, sum(g)::BIGINT AS g, sum(h)::BIGINT AS h FROM grads GROUP BY node),
+    cells AS (
+      SELECT node, j, bin, sum(g) AS g, sum(h) AS h FROM grads JOIN allowed USING (t) JOIN bins USING (id, j)
+      WHERE level < {DEPTH} AND node >= 1 << level GROUP BY node, j, bin),
+    sides AS (
+      SELECT node, j, bin, sum(g) OVER upto AS lg, sum(h) OVER upto AS lh FROM cells
+      WINDOW upto AS (PARTITION BY node, j ORDER BY bin ROWS UNBOUNDED PRECEDING)),
+    gains AS (
+      SELECT node, j, bin, {score('lg', 'lh')} + {score('(g - lg)', '(h - lh)')} - {score('g', 'h')} AS gain
+      FROM sides JOIN totals USING (node)
+      WHERE lh >= {LEAST_HESSIAN} * {unit} AND h - lh >= {LEAST_HESSIAN} * {unit} AND lh > 0 AND h - lh > 0),
+    best AS (
+      SELECT node, j, bin AS cut FROM gains QUALIFY gain > {LEAST_GAIN}::DOUBLE AND row_number() OVER (PARTITION BY node ORDER BY gain DESC, j, bin) = 1),
+    weights AS (
+      SELECT node, -{pulled('g')} / (h / {unit} + {L2}::DOUBLE) * {STEP}::DOUBLE AS weight FROM totals)
+    SELECT step + 1, h.id, CASE WHEN level = {DEPTH} THEN margin + coalesce(weight, 0) ELSE margin END,
+      CASE WHEN level = {DEPTH} THEN 1 WHEN best.j IS NULL THEN h.node ELSE 2 * h.node + (bin > cut)::BIGINT END
+    FROM here h LEFT JOIN weights USING (node) LEFT JOIN best USING (node) LEFT JOIN bins ON bins.id = h.id AND bins.j = best.j)),
+chances AS (SELECT id, 1 / (1 + exp(-margin)) AS model_predictions FROM states WHERE step = {steps})"""
+
+
+_DRAW = "('0x' || substr(md5(concat_ws('|', loan_id, Customer_ID, snapshot_date)), 1, 8))::BIGINT % 2147483647"
+_SPLIT_FRAME = FRAME + """,
+in_time AS (SELECT * FROM frame WHERE snapshot_date < DATE '1999-01-01'),""" + SPLIT.format(rows="in_time") + f""",
+split_frame AS (
+  SELECT split, loan_id, Customer_ID, snapshot_date, label, {_MODEL_COLUMNS} FROM split_rows
+  UNION ALL SELECT 'oot', loan_id, Customer_ID, snapshot_date, label, {_MODEL_COLUMNS} FROM frame WHERE snapshot_date >= DATE '1999-01-01')"""
+_SPLIT_SAMPLES = f"""
+samples AS (SELECT row_number() OVER () AS id, split = 'train' AS train, {_DRAW} AS draw, * FROM split_frame)"""
+# Every row of the feature store, scored by the model of the train split.
+_ALL_SAMPLES = f"""
+samples AS (
+  SELECT row_number() OVER () AS id, * FROM (
+    SELECT true AS train, {_DRAW} AS draw, Customer_ID, snapshot_date, label, {_MODEL_COLUMNS} FROM split_frame WHERE split = 'train'
+    UNION ALL SELECT false, NULL, Customer_ID, snapshot_date, NULL, {_MODEL_COLUMNS} FROM features
+    WHERE {' AND '.join(f'{c} IS NOT NULL' for c in _ALL_FEATURES)}))"""
+
 ODD = ATTRIBUTES + """,
 odd AS (
   SELECT Customer_ID, CASE Customer_ID::BIGINT % 6 WHEN 0 THEN ' ' || Name WHEN 1 THEN Name || '  '
@@ -403,6 +499,40 @@ def oracle_sql() -> dict[str, str]:
     w = "WITH "
     return {
         "q_bronze_text": w + ODD + " SELECT * FROM odd",
+        "q_multiline_loans": w + LMS + """,
+remarked AS (
+  SELECT *, CASE loan_id::BIGINT % 4 WHEN 0 THEN 'paid' || chr(10) || '"late", ' || loan_id
+    WHEN 1 THEN chr(10) || loan_id || chr(13) || chr(10) WHEN 2 THEN 'size 5" ' || loan_id END AS remark FROM lms)
+SELECT snapshot_date, count(*) AS rows, sum(length(remark))::BIGINT AS remark_chars,
+  max(md5(concat_ws('|', loan_id, installment_num, remark))) AS last_md5, count(DISTINCT loan_id) AS loans
+FROM remarked GROUP BY snapshot_date""",
+        "q_new_files": w + ATTRIBUTES + """
+SELECT Customer_ID, CASE WHEN snapshot_date = DATE '1995-03-01' THEN 'new ' ELSE '' END || Name AS Name, Age, SSN, Occupation, snapshot_date
+FROM raw_attr""",
+        "q_feature_update": w + FEATURES + f" SELECT {_FEATURE_COLUMNS} FROM features",
+        "q_monitor_stored": w + SCORED + "," + FEATURES + f"""
+SELECT p.Customer_ID, snapshot_date, model_name, model_predictions, label, {', '.join([*_KEPT, 'Occupation'])},
+       {_averages()}
+FROM predictions p JOIN features USING (Customer_ID, snapshot_date)
+JOIN labels_90 USING (Customer_ID, snapshot_date)""",
+        "q_quantile_sketches": w + CUSTOMERS + "," + FINANCIALS + f""",
+long_fin AS (UNPIVOT (SELECT {', '.join(f'{c}::DOUBLE AS {c}' for c in NUMBERS)} FROM fin) ON {', '.join(NUMBERS)} INTO NAME col VALUE x)
+SELECT col AS "column", count(*) AS n, p AS probability, true AS near
+FROM long_fin, (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) AS t(p) GROUP BY col, p""",
+        "q_coverage_sketches": w + LABELS + "," + CLICKSTREAM + """,
+l AS (SELECT DISTINCT Customer_ID, snapshot_date FROM labels_90),
+r AS (SELECT DISTINCT Customer_ID, snapshot_date FROM clicks)
+SELECT measure, exact, true AS near FROM (
+  SELECT 'left_keys' AS measure, count(*) AS exact FROM l UNION ALL SELECT 'right_keys', count(*) FROM r
+  UNION ALL SELECT 'matched_keys', count(*) FROM l JOIN r USING (Customer_ID, snapshot_date)
+  UNION ALL SELECT 'left_only_keys', count(*) FROM l ANTI JOIN r USING (Customer_ID, snapshot_date)
+  UNION ALL SELECT 'right_only_keys', count(*) FROM r ANTI JOIN l USING (Customer_ID, snapshot_date)
+  UNION ALL SELECT 'all_keys', count(*) FROM (SELECT * FROM l UNION SELECT * FROM r))""",
+        "q_loan_clicks": w + LABELS + "," + CLICKSTREAM + """
+SELECT Customer_ID, loan_id, label, CAST(l.snapshot_date - to_months(4) AS DATE) AS since, l.snapshot_date AS upto,
+  c.snapshot_date AS clicked, fe_1
+FROM labels_90 l JOIN clicks c USING (Customer_ID)
+WHERE c.snapshot_date BETWEEN CAST(l.snapshot_date - to_months(4) AS DATE) AND l.snapshot_date""",
         "q_quarantine": w + ATTRIBUTES + """
 SELECT CASE WHEN Customer_ID::BIGINT % 33 = 0 THEN 'fields' ELSE 'date' END AS reason,
   CASE WHEN Customer_ID::BIGINT % 20 = 0 THEN 'soon' ELSE snapshot_date::VARCHAR END AS snapshot_date, count(*) AS rows
@@ -422,17 +552,28 @@ UNION ALL SELECT 'notes.csv', count(*), NULL FROM raw_attr WHERE Age LIKE '%_'""
 SELECT 0 AS fold, label, taken::BIGINT AS rows FROM f0 WHERE taken > 0
 UNION ALL SELECT 1, label, taken::BIGINT FROM f1 WHERE taken > 0
 UNION ALL SELECT 2, label, n::BIGINT FROM f1_rest WHERE n > 0""",
-        "q_train_score": w + _COMPLETE_FEATURES + """
-SELECT Customer_ID, snapshot_date, 'gbt_credit_model_1999_03_01' AS model_name, true AS in_range, true AS agrees
-FROM complete_features""",
-        "q_registry": w + _IN_TIME + """,
-entries(field, day, value) AS (
-  VALUES ('model_train_date', DATE '1999-03-01', NULL::DOUBLE), ('oot_start_date', DATE '1999-01-01', NULL),
-    ('oot_end_date', DATE '1999-02-28', NULL), ('train_test_start_date', DATE '1998-01-01', NULL),
-    ('train_test_end_date', DATE '1998-12-31', NULL), ('train_test_period_months', NULL, 12), ('oot_period_months', NULL, 2),
-    ('train_test_ratio', NULL, 0.8)
-  UNION ALL SELECT 'rows_' || split, NULL, n FROM side_stats
-  UNION ALL SELECT 'positive_rate_' || split, NULL, rate FROM side_stats)
+        "q_train_score": "WITH RECURSIVE " + _SPLIT_FRAME + "," + _boosted(_ALL_SAMPLES) + """
+SELECT Customer_ID, snapshot_date, 'gbt_credit_model_1999_03_01' AS model_name, round(model_predictions, 6) AS model_predictions
+FROM samples JOIN chances USING (id) WHERE NOT train""",
+        "q_model_scores": "WITH RECURSIVE " + _SPLIT_FRAME + "," + _boosted(_SPLIT_SAMPLES) + """
+SELECT loan_id, Customer_ID, snapshot_date, split, label, round(model_predictions, 6) AS model_predictions
+FROM samples JOIN chances USING (id)""",
+        "q_registry": "WITH RECURSIVE " + _SPLIT_FRAME + "," + _boosted(_SPLIT_SAMPLES) + """,
+model_scores AS (SELECT split, label, model_predictions FROM samples JOIN chances USING (id)),""" + _auc("model_scores", "split") + f""",
+side_stats AS (SELECT split, count(*)::DOUBLE AS n, round(avg(label), 2) AS rate FROM model_scores GROUP BY split),
+entries(field, day, value, setting) AS (
+  VALUES ('model_train_date', DATE '1999-03-01', NULL::DOUBLE, NULL), ('oot_start_date', DATE '1999-01-01', NULL, NULL),
+    ('oot_end_date', DATE '1999-02-28', NULL, NULL), ('train_test_start_date', DATE '1998-01-01', NULL, NULL),
+    ('train_test_end_date', DATE '1998-12-31', NULL, NULL), ('train_test_period_months', NULL, 12, NULL),
+    ('oot_period_months', NULL, 2, NULL), ('train_test_ratio', NULL, 0.8, NULL),
+    ('maxIter', NULL, NULL, '{ROUNDS}'), ('maxDepth', NULL, NULL, '{DEPTH}'), ('stepSize', NULL, NULL, '{STEP}'),
+    ('subsamplingRate', NULL, NULL, '{ROW_SHARE}'), ('columnShare', NULL, NULL, '{COLUMN_SHARE}'),
+    ('minGain', NULL, NULL, '{LEAST_GAIN}'), ('minHessian', NULL, NULL, '{LEAST_HESSIAN}'), ('l1', NULL, NULL, '{L1}'),
+    ('l2', NULL, NULL, '{L2}')
+  UNION ALL SELECT 'rows_' || split, NULL, n, NULL FROM side_stats
+  UNION ALL SELECT 'positive_rate_' || split, NULL, rate, NULL FROM side_stats
+  UNION ALL SELECT 'auc_' || split, NULL, round(auc, 8), NULL FROM areas
+  UNION ALL SELECT 'gini_' || split, NULL, round(2 * auc - 1, 3), NULL FROM areas)
 SELECT 'credit_model_1999_03_01' AS model_version, * FROM entries""",
         "q_iqr_approx": w + CUSTOMERS + "," + FINANCIALS + ",counted AS (SELECT snapshot_date, "
         + ", ".join(f"count({c}) AS {c}" for c in NUMBERS) + " FROM numbers GROUP BY 1),"

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as X
 from snapmart import schemas as S
-from snapmart.operators import clean, dataset, features, loans, model, monitor, profile, quantiles
+from snapmart.operators import clean, dataset, features, intervals, loans, model, monitor, profile, quantiles, sketches
 from snapmart.plans import etl, monitoring, training
 from snapmart.plans.layout import Mart
 from snapmart.session import materialize, new_path
@@ -294,6 +294,43 @@ def q_dated_files(spark, sf):
     return found.unionByName(undated.select(F.col("file_name").alias("file"), "rows", F.lit(None).cast("string").alias("last_name")))
 
 
+def q_multiline_loans(spark, sf):
+    """One large raw file of loans, each with a remark of several lines, read by several tasks; counted per snapshot."""
+    mart = Mart(new_path(spark, "mart"))
+    etl.build_bronze(spark, {"lms": _raw_csv(_remarked_loans(spark, sf), "lms")}, mart, multi_line=True)
+    stored = snapshots.extra_column(snapshots.read_split(spark, mart.bronze("lms"), S.RAW_COLUMNS["lms"]), "Remark")
+    return stored.groupBy(S.SNAPSHOT).agg(
+        F.count("*").alias("rows"), F.sum(F.char_length("Remark")).alias("remark_chars"),
+        F.max(F.md5(F.concat_ws("|", "loan_id", "installment_num", "Remark"))).alias("last_md5"),
+        F.countDistinct("loan_id").alias("loans"),
+    )
+
+
+def _remarked_loans(spark, sf) -> DataFrame:
+    """Raw loans with remarks that hold line breaks, quotes and commas."""
+    kind = F.col("loan_id").cast("long") % 4
+    paid, line = F.lit("paid\n\"late\", "), F.lit("\n")
+    remark = (
+        F.when(kind == 0, F.concat(paid, "loan_id")).when(kind == 1, F.concat(line, "loan_id", F.lit("\r\n")))
+        .when(kind == 2, F.concat(F.lit('size 5" '), "loan_id"))
+    )
+    return X.raw_loans(spark, sf).withColumn("Remark", remark)
+
+
+def q_new_files(spark, sf):
+    """Bronze from a folder in two runs: the second takes only the files that came since, and a date delivered again."""
+    mart, folder = Mart(new_path(spark, "mart")), new_path(spark, "files")
+    rows = X.raw_attributes(spark, sf).withColumn("file", F.date_format(S.SNAPSHOT, "'attributes_'yyyy_MM_dd"))
+    early = F.col(S.SNAPSHOT) < F.lit(date(1996, 1, 1))
+    X.named_csv_files(rows.filter(early).drop(S.SNAPSHOT), "file", folder)
+    etl.ingest_new_files(spark, "attributes", folder, mart)
+    X.named_csv_files(rows.filter(~early).drop(S.SNAPSHOT), "file", folder)
+    again = rows.filter(F.col(S.SNAPSHOT) == F.lit(date(1995, 3, 1))).withColumn("Name", F.concat(F.lit("new "), "Name"))
+    X.named_csv_files(again.withColumn("file", F.concat(F.lit("again_"), "file")).drop(S.SNAPSHOT), "file", folder)
+    etl.ingest_new_files(spark, "attributes", folder, mart)
+    return etl.read_bronze(spark, mart, "attributes")
+
+
 def q_bronze_tables(spark, sf):
     mart = Mart(new_path(spark, "mart"))
     etl.build_bronze(spark, {"attributes": _raw_csv(X.raw_attributes(spark, sf), "attributes")}, mart)
@@ -325,6 +362,25 @@ def q_feature_rebuild(spark, sf):
     return _rounded(snapshots.read_table(spark, path), AVERAGES)
 
 
+def q_feature_update(spark, sf):
+    """A feature store with one snapshot missing and one wrong, brought up to date by the changes alone."""
+    missing, wrong = date(1998, 3, 1), date(1998, 6, 1)
+    mart, clicks = Mart(new_path(spark, "mart")), X.raw_clicks(spark, sf)
+    snapshots.write_snapshots(silver_financials(spark, sf), mart.silver("financials"))
+    snapshots.write_snapshots(silver_attributes(spark, sf), mart.silver("attributes"))
+    day, odd = F.col(S.SNAPSHOT), F.col(S.ENTITY).cast("long") % 2 == 1
+    others = clicks.filter(~day.isin(F.lit(missing), F.lit(wrong)))
+    doubled = clicks.filter((day == F.lit(wrong)) & odd).withColumns({c: F.col(c) * 2 for c in S.CLICK_FEATURES})
+    strangers = doubled.withColumn(S.ENTITY, F.concat(F.lit("no "), S.ENTITY))
+    for rows in (others.unionByName(doubled).unionByName(strangers), clicks.filter(day.isin(F.lit(missing), F.lit(wrong)))):
+        snapshots.split_into_snapshots(rows, mart.bronze("clickstream"), S.RAW_COLUMNS["clickstream"], mart.quarantine("clickstream"))
+        if snapshots.folder_exists(spark, mart.gold("feature_store")):
+            etl.update_features(spark, mart, [missing, wrong])
+        else:
+            etl.build_features(spark, mart)
+    return _rounded(snapshots.read_table(spark, mart.gold("feature_store")), AVERAGES)
+
+
 def q_etl_features(spark, sf):
     """Raw CSV text through bronze, silver and gold."""
     mart = Mart(new_path(spark, "mart"))
@@ -386,37 +442,38 @@ def q_fold_stats(spark, sf):
 # Model
 
 
-# One setting of the search space.
-SETTING = {"maxIter": 25, "maxDepth": 3, "stepSize": 0.1}
+# One setting, with every parameter in use; checks/oracle.py states it too.
+SETTING = {
+    "maxIter": 25, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, "columnShare": 0.6, "minGain": 0.01, "minHessian": 1,
+    "l1": 0.1, "l2": 1.5,
+}
 
 
-def _split(spark, sf) -> DataFrame:
-    return materialize(training.split_frame(labels(spark, sf), feature_rows(spark, sf), WINDOW), "split-frame")
+def _split(spark, sf, features=None) -> DataFrame:
+    rows = feature_rows(spark, sf) if features is None else features
+    return materialize(training.split_frame(labels(spark, sf), rows, WINDOW), "split-frame")
 
 
 def q_train_score(spark, sf):
-    """A model fitted on the train split, saved and loaded; all snapshots scored by both."""
-    rows, everything = _split(spark, sf), materialize(feature_rows(spark, sf), "features")
-    train = rows.filter("split = 'train'")
-    fitted = model.fit(train, dataset.fit_preprocessor(train), **SETTING)
+    """A model fitted on the train split, saved and loaded, and its scores of all snapshots."""
+    everything = materialize(feature_rows(spark, sf), "features")
+    train = _split(spark, sf, everything).filter("split = 'train'")
     path = new_path(spark, "model")
-    model.save_model(fitted, path)
+    model.save_model(model.fit(train, dataset.fit_preprocessor(train), **SETTING), path)
     days, name = [r[0] for r in everything.select(S.SNAPSHOT).distinct().collect()], "gbt_credit_model_1999_03_01"
-    scored = model.score_snapshots(model.load_model(path), everything, days, name)
-    own = model.score_snapshots(fitted, everything, days, name).withColumnRenamed("model_predictions", "own")
-    both = scored.join(own, [S.ENTITY, S.SNAPSHOT, "model_name"])
-    return both.select(
-        S.ENTITY, S.SNAPSHOT, "model_name", F.col("model_predictions").between(0.0, 1.0).alias("in_range"),
-        (F.col("model_predictions") == F.col("own")).alias("agrees"),
-    )
+    return _rounded(model.score_snapshots(model.load_model(path), everything, days, name), ["model_predictions"], 6)
 
 
-def q_model_scores(spark, sf):
-    """The scores themselves: all rows of the three splits by a model of one setting."""
+def _model_scores(spark, sf) -> DataFrame:
     rows = _split(spark, sf)
     train = rows.filter("split = 'train'")
-    scored = model.with_probability(model.fit(train, dataset.fit_preprocessor(train), **SETTING), rows)
-    return scored.select("loan_id", S.ENTITY, S.SNAPSHOT, "split", "label", "model_predictions")
+    return model.with_probability(model.fit(train, dataset.fit_preprocessor(train), **SETTING), rows)
+
+
+def q_model_scores(spark, sf):
+    """The scores themselves: all rows of the three splits by a model of one setting."""
+    scored = _model_scores(spark, sf).select("loan_id", S.ENTITY, S.SNAPSHOT, "split", "label", "model_predictions")
+    return _rounded(scored, ["model_predictions"], 6)
 
 
 def q_random_search(spark, sf, **search):
@@ -426,17 +483,16 @@ def q_random_search(spark, sf, **search):
 
 
 def q_registry(spark, sf):
-    """The dates, window lengths, sizes and rates of a registry record, one row each."""
-    rows = _split(spark, sf)
-    train = rows.filter("split = 'train'")
-    scored = model.with_probability(model.fit(train, dataset.fit_preprocessor(train), **SETTING), rows)
-    area = monitor.auc_and_gini(scored, "model_predictions", "label", ["split"])
-    record = model.registry_record(spark, "gbt", WINDOW, dataset.split_statistics(rows), area, SETTING)
-    numbers = F.map_concat("data_config", "data_stats")
-    days = record.select("model_version", F.explode("data_dates").alias("field", "day")).withColumn("value", F.lit(None).cast("double"))
-    return days.unionByName(
-        record.select("model_version", F.explode(numbers).alias("field", "value")), allowMissingColumns=True
-    )
+    """A registry record, one row for each date, window length, size, rate, result and setting."""
+    scored = materialize(_model_scores(spark, sf).select("split", "label", "model_predictions"), "scored")
+    area = _rounded(monitor.auc_and_gini(scored, "model_predictions", "label", ["split"]), ["auc"], 8)
+    record = model.registry_record(spark, "gbt", WINDOW, dataset.split_statistics(scored), area, SETTING)
+    parts = [
+        record.select("model_version", F.explode("data_dates").alias("field", "day")),
+        record.select("model_version", F.explode(F.map_concat("data_config", "data_stats", "results")).alias("field", "value")),
+        record.select("model_version", F.explode("hp_params").alias("field", "setting")),
+    ]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
 
 
 # Monitoring
@@ -452,6 +508,61 @@ def q_monitor_frame(spark, sf):
     )
 
 
+def q_monitor_stored(spark, sf):
+    """The same frame from three stored tables that are dealt by its keys and joined without a shuffle."""
+    keys, tables = [S.ENTITY, S.SNAPSHOT], {}
+    sources = {"predictions": X.predictions(spark, sf), "features": feature_rows(spark, sf), "labels": labels(spark, sf)}
+    for name, rows in sources.items():
+        path = new_path(spark, name)
+        tables[name] = f"{name}_{path[-32:]}"
+        snapshots.save_bucketed(rows, tables[name], path, keys, buckets=8)
+    stored = [spark.table(tables[n]).hint("merge") for n in sources]
+    return _rounded(monitor.monitoring_frame(*stored), AVERAGES)
+
+
+def q_quantile_sketches(spark, sf):
+    """Quartiles of all snapshots from summaries per snapshot, one of which came late, against the exact ranks."""
+    rows, path = silver_financials(spark, sf), new_path(spark, "sketches")
+    late = F.col(S.SNAPSHOT) == F.lit(date(1995, 5, 1))
+    for some in (rows.filter(~late), rows.filter(late)):
+        snapshots.write_snapshots(sketches.quantile_sketches(some, S.FINANCIAL_NUMBERS), path)
+    stored = snapshots.read_table(spark, path)
+    found = materialize(sketches.merged_quantiles(stored, [0.25, 0.5, 0.75]), "merged-quantiles")
+    p, error = F.col("probability"), sketches.RANK_ERROR
+    near = (F.col("below") <= p + error) & (F.col("upto") >= p - error)
+    return sketches.rank_shares(rows, found, S.FINANCIAL_NUMBERS).select("column", "n", "probability", near.alias("near"))
+
+
+def q_coverage_sketches(spark, sf):
+    """Keys of labels and clicks, and how they meet, from summaries per snapshot, against exact counts."""
+    keys, sides = [S.ENTITY, S.SNAPSHOT], {"left": labels(spark, sf), "right": X.raw_clicks(spark, sf)}
+    stored = []
+    for name, rows in sides.items():
+        path = new_path(spark, f"keys-{name}")
+        snapshots.write_snapshots(sketches.key_sketches(rows, keys), path)
+        stored.append(snapshots.read_table(spark, path))
+    estimates = sketches.coverage_estimates(*stored)
+    both = sides["left"].select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        sides["right"].select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))
+    ).groupBy(*keys).agg(F.max("l").alias("l"), F.max("r").alias("r"))
+    counts = both.agg(
+        F.sum("l").alias("left_keys"), F.sum("r").alias("right_keys"), F.sum(F.col("l") * F.col("r")).alias("matched_keys"),
+        F.sum(F.col("l") * (1 - F.col("r"))).alias("left_only_keys"), F.sum((1 - F.col("l")) * F.col("r")).alias("right_only_keys"),
+        F.count("*").alias("all_keys"),
+    )
+    names = counts.columns
+    exact = counts.withColumn("everything", F.col("all_keys")).unpivot("everything", names, "measure", "exact")
+    near = F.abs(F.col("keys") - F.col("exact")) <= F.col("everything") * sketches.key_error() + 1
+    return estimates.join(exact, "measure").select("measure", "exact", near.alias("near"))
+
+
+def q_loan_clicks(spark, sf):
+    """Each labelled loan with its customer's clicks of the four months up to its snapshot: a join of two tables by span."""
+    since = labels(spark, sf).select("loan_id", S.ENTITY, "label", F.add_months(S.SNAPSHOT, -4).alias("since"), F.col(S.SNAPSHOT).alias("upto"))
+    clicked = X.raw_clicks(spark, sf).select(S.ENTITY, F.col(S.SNAPSHOT).alias("clicked"), "fe_1")
+    return intervals.interval_join(since, clicked, [S.ENTITY], ("since", "upto"), ("clicked", "clicked"), bin_days=92)
+
+
 def q_auc(spark, sf):
     return _rounded(monitor.auc(scored(spark, sf, None), by=["model_name"]), ["auc"], 8)
 

@@ -1,11 +1,16 @@
 """Feature store: rolling click averages joined with customer profiles."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from snapmart.operators.clean import drop_sparse_columns
+from snapmart.operators.dataset import months_before
 from snapmart.schemas import CLICK_FEATURES, ENTITY, SNAPSHOT
 from snapmart.session import materialize
 
+AVERAGES = [f"{c}_5m_avg" for c in CLICK_FEATURES]
+
 
 def rolling_month_average(
     clicks: DataFrame, features: list[str] = CLICK_FEATURES, months: int = 5, entity: str = ENTITY
@@ -29,9 +34,17 @@ def rolling_month_average(
     return keyed.groupBy(entity, SNAPSHOT).agg(*sums, *counts).select(entity, SNAPSHOT, *means)
 
 
-def customer_profiles(financials: DataFrame, attributes: DataFrame, max_null_percent: float = 5.0) -> DataFrame:
-    """Complete financial rows, without sparse columns, joined with the attributes of the same snapshot."""
-    complete = drop_sparse_columns(financials.drop("Type_of_Loan"), max_null_percent).na.drop("any")
+def customer_profiles(
+    financials: DataFrame, attributes: DataFrame, max_null_percent: float = 5.0, keep: list[str] | None = None
+) -> DataFrame:
+    """Complete financial rows, without sparse columns, joined with the attributes of the same snapshot.
+
+    With ``keep`` the columns to keep are known already, and no nulls are counted.
+    """
+    if keep is None:
+        complete = drop_sparse_columns(financials.drop("Type_of_Loan"), max_null_percent).na.drop("any")
+    else:
+        complete = financials.select(*[c for c in financials.columns if c in {ENTITY, SNAPSHOT, *keep}]).na.drop("any")
     return complete.join(attributes.drop("Age", "Name", "SSN"), [ENTITY, SNAPSHOT], "inner")
 
 
@@ -82,7 +95,37 @@ def feature_store(
 ) -> DataFrame:
     """Profile columns and rolling click averages for every (customer, snapshot) of the clicks."""
     profiles = materialize(customer_profiles(financials, attributes, max_null_percent), "profiles")
-    joined = attach_profiles(profiles, rolling_month_average(clicks), point_in_time)
-    averages = [f"{c}_5m_avg" for c in CLICK_FEATURES]
-    profile_columns = [c for c in joined.columns if c not in {ENTITY, SNAPSHOT, *averages}]
-    return joined.select(ENTITY, *profile_columns, *averages, SNAPSHOT)
+    return _in_order(attach_profiles(profiles, rolling_month_average(clicks), point_in_time))
+
+
+def _in_order(joined: DataFrame) -> DataFrame:
+    profile_columns = [c for c in joined.columns if c not in {ENTITY, SNAPSHOT, *AVERAGES}]
+    return joined.select(ENTITY, *profile_columns, *AVERAGES, SNAPSHOT)
+
+
+def touched_snapshots(days: list[date], known: list[date], months: int = 5) -> list[date]:
+    """Of the ``known`` snapshots, those whose window of ``months`` reaches back to a changed day, and the days themselves."""
+    return sorted({s for s in known for d in days if months_before(s, months - 1) <= d <= s} | set(days))
+
+
+def updated_features(
+    store: DataFrame, clicks: DataFrame, financials: DataFrame, attributes: DataFrame, days: list[date], point_in_time: bool = False
+) -> tuple[DataFrame, list[date]]:
+    """The feature store's rows of all snapshots that changed ``clicks`` of some days touch, and those snapshots.
+
+    ``clicks`` has the days as they are now, and ``store`` as they were. Customers of a changed day, before or after, are
+    reckoned anew over the snapshots whose windows reach back to it; all other rows are taken over. So of the store only
+    the touched partitions are read, and of the clicks those in their windows.
+    """
+    known = [r[0] for r in clicks.select(SNAPSHOT).distinct().collect()]  # one row per snapshot
+    touched = touched_snapshots(days, known)
+    of = lambda rows, dates: rows.where(F.col(SNAPSHOT).isin([F.lit(d) for d in dates]))
+    before = of(store, touched)
+    customers = of(before, days).select(ENTITY).unionByName(of(clicks, days).select(ENTITY))
+    customers = materialize(customers.where(F.col(ENTITY).isNotNull()).distinct(), "touched-customers")
+    seen = clicks.where(F.col(SNAPSHOT).between(F.lit(months_before(min(touched), 4)), F.lit(max(touched))))
+    means = of(rolling_month_average(seen.join(customers, ENTITY, "left_semi")), touched)
+    kept = [c for c in store.columns if c not in {ENTITY, SNAPSHOT, *AVERAGES}]
+    profiles = customer_profiles(financials, attributes, keep=kept).join(customers, ENTITY, "left_semi")
+    anew = _in_order(attach_profiles(materialize(profiles, "profiles"), means, point_in_time))
+    return anew.unionByName(before.join(customers, ENTITY, "left_anti")), touched

@@ -39,11 +39,22 @@ def new_path(spark: SparkSession, name: str, keep: bool = False) -> str:
     return path
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    """Deletes the folder, and the application's own once nothing is left in it."""
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def delete_folder(spark: SparkSession, path: str):
+    """Deletes the folder, if there is one; gives its path and file system."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     system.delete(target, True)
+    return target, system
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Deletes the folder, and the application's own once nothing is left in it."""
+    target, system = delete_folder(spark, path)
     above = target.getParent()
     if above.getName() == spark.sparkContext.applicationId and system.exists(above) and not len(system.listStatus(above)):
         system.delete(above, True)

@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from snapmart.functions.columns import date_in_file_name
 from snapmart.schemas import SNAPSHOT
+from snapmart.session import delete_folder, folder_exists
+from snapmart.sources import multiline
 
 # Columns beside the sources' own: unreadable lines, and columns that a table's schema does not name.
 CORRUPT, EXTRA = "_corrupt", "_extra"
+_DAY_TEXT, _NO_DAY = "_day_text", "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_csv(
@@ -18,16 +21,19 @@ def read_csv(
 ) -> DataFrame:
     """A CSV file or folder with headers, every column as text, the given columns first and in that order.
 
-    Quotes inside quoted text are doubled, as usual. ``multi_line`` lets quoted text hold line breaks; a file is then
-    read by one task. Columns go by the header's names, and files whose headers differ are an error rather than
-    shifted columns; read them one by one. With ``keep_corrupt`` the column ``CORRUPT`` holds the text of lines whose
+    Quotes inside quoted text are doubled, as usual. ``multi_line`` lets quoted text hold line breaks; the files are then
+    read twice, see ``multiline``. Columns go by the header's names, and files whose headers differ are an error rather
+    than shifted columns; read them one by one. With ``keep_corrupt`` the column ``CORRUPT`` holds the text of lines whose
     number of fields is wrong.
     """
     options = {"header": True, "enforceSchema": False, "mode": "PERMISSIVE", "escape": '"', "multiLine": multi_line}
     names = spark.read.options(**options).csv(path).columns
     beside = [CORRUPT] if keep_corrupt else []
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, *beside]])
-    rows = spark.read.options(**options, columnNameOfCorruptRecord=CORRUPT).schema(schema).csv(path)
+    if multi_line:
+        rows = multiline.parsed(multiline.records(spark, path), names, CORRUPT if keep_corrupt else None)
+    else:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, *beside]])
+        rows = spark.read.options(**options, columnNameOfCorruptRecord=CORRUPT).schema(schema).csv(path)
     known = [c for c in columns if c in names]
     return rows.select(*known, *sorted(set(names) - set(known)), *beside)
 
@@ -50,15 +56,14 @@ def read_dated_files(
         reader = reader.schema(schema)
     if file_format == "csv":
         reader = reader.options(header=True, enforceSchema=False, escape='"')
-    rows = reader.format(file_format).load(path)
-    named = rows.withColumn("file_snapshot", date_in_file_name(F.col("_metadata.file_name")))
-    undated = (
-        rows.select(F.col("_metadata.file_name").alias("file_name"))
-        .filter(date_in_file_name(F.col("file_name")).isNull())
-        .groupBy("file_name")
-        .agg(F.count("*").alias("rows"))
-    )
-    return named.filter(F.col("file_snapshot").isNotNull()), undated
+    return by_file_date(reader.format(file_format).load(path).select("*", F.col("_metadata.file_name").alias("file_name")))
+
+
+def by_file_date(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with ``file_name``: those of dated files with ``file_snapshot`` instead, and the other files with their rows."""
+    named = rows.withColumn("file_snapshot", date_in_file_name(F.col("file_name")))
+    undated = named.filter(F.col("file_snapshot").isNull()).groupBy("file_name").agg(F.count("*").alias("rows"))
+    return named.filter(F.col("file_snapshot").isNotNull()).drop("file_name"), undated
 
 
 def write_snapshots(
@@ -82,20 +87,33 @@ def write_snapshots(
     writer.format(file_format).save(path)
 
 
+def save_bucketed(df: DataFrame, table: str, path: str, by: list[str], buckets: int = 64) -> None:
+    """Store ``df`` as a catalog table whose files are dealt by a hash of ``by`` and sorted by it, one file per bucket.
+
+    Tables with as many buckets by the same columns are joined on these without a shuffle or a sort. Deal by all columns of the
+    join, so that a customer with very many rows is spread over its snapshots.
+    """
+    dealt = df.repartition(buckets, *by).sortWithinPartitions(*by)
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, *by).sortBy(*by).saveAsTable(table)
+
+
 # How bronze writes what would part a line: every backslash it writes is followed by one of these letters.
 _CODES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
 
 
 def _one_line(c: Column) -> Column:
-    for plain, coded in _CODES:
-        c = F.replace(c, F.lit(plain), F.lit(coded))
-    return c
+    coded = c
+    for plain, code in _CODES:
+        coded = F.replace(coded, F.lit(plain), F.lit(code))
+    # Most texts have nothing to code, which one look shows.
+    return F.when(c.rlike(r"[\\\n\r]"), coded).otherwise(c)
 
 
 def _many_lines(c: Column) -> Column:
-    for plain, coded in reversed(_CODES):
-        c = F.replace(c, F.lit(coded), F.lit(plain))
-    return c
+    plain = c
+    for text, code in reversed(_CODES):
+        plain = F.replace(plain, F.lit(code), F.lit(text))
+    return F.when(F.contains(c, F.lit("\\")), plain).otherwise(c)
 
 
 def split_into_snapshots(raw: DataFrame, path: str, columns: list[str], quarantine: str) -> None:
@@ -106,33 +124,41 @@ def split_into_snapshots(raw: DataFrame, path: str, columns: list[str], quaranti
     back as it was, with its spaces, quotes and line breaks.
     """
     corrupt = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
-    day = F.col(SNAPSHOT).try_cast("date")
+    day = F.when(corrupt.isNull(), F.col(SNAPSHOT).try_cast("date"))
     further = [c for c in raw.columns if c not in {*columns, CORRUPT, EXTRA}]
     extra = F.to_json(F.struct(*further)) if further else F.lit(None).cast("string")
     text = {c: F.col(c).cast("string") if c in raw.columns else F.lit(None).cast("string") for c in columns}
     fixed = raw.select(
         *[_one_line(v).alias(c) for c, v in text.items() if c != SNAPSHOT],
         _one_line(extra).alias(EXTRA),
-        text[SNAPSHOT].alias("_day_text"),
+        *[_one_line(F.when(day.isNull(), v)).alias(c) for c, v in ((_DAY_TEXT, text[SNAPSHOT]), (CORRUPT, corrupt))],
         day.alias(SNAPSHOT),
-        corrupt.alias(CORRUPT),
     )
-    # Written as a table of its own: partitions by day would lose the text that is no day.
-    good = F.col(SNAPSHOT).isNotNull() & F.col(CORRUPT).isNull()
-    write_snapshots(fixed.filter(good).drop("_day_text", CORRUPT), path, "csv")
+    # One pass over the raw text: rows without a day are a partition of their own, which then moves to the quarantine.
+    spark, no_day = raw.sparkSession, f"{path}/{SNAPSHOT}={_NO_DAY}"
+    delete_folder(spark, no_day)  # of a run that broke off
+    write_snapshots(fixed, path, "csv")
+    found = folder_exists(spark, no_day)
+    rejected = _stored(spark, path, columns, no_day if found else None).where(F.lit(found))
     reason = F.when(F.col(CORRUPT).isNotNull(), "fields").otherwise("date")
-    rejected = fixed.filter(~good).withColumns({"reason": reason, SNAPSHOT: F.col("_day_text")}).drop("_day_text")
+    rejected = rejected.withColumns({"reason": reason, SNAPSHOT: F.col(_DAY_TEXT)}).drop(_DAY_TEXT)
     rejected.write.mode("overwrite").parquet(quarantine)
+    delete_folder(spark, no_day)
+
+
+def _stored(spark: SparkSession, path: str, columns: list[str], folder: str | None = None) -> DataFrame:
+    """All columns of a table written by ``split_into_snapshots``, or of one of its folders."""
+    stored = [*[c for c in columns if c != SNAPSHOT], EXTRA, _DAY_TEXT, CORRUPT]
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in stored], T.StructField(SNAPSHOT, T.DateType())])
+    # A record that was unreadable is text like any other here, so it must not be taken for the parser's own column.
+    options = {"header": True, "enforceSchema": False, "escape": '"', "columnNameOfCorruptRecord": "_unreadable", "basePath": path}
+    rows = spark.read.schema(schema).options(**options).csv(folder or path)
+    return rows.select(*[_many_lines(F.col(c)).alias(c) for c in stored], SNAPSHOT)
 
 
 def read_split(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A table written by ``split_into_snapshots``: ``columns``, and the sources' further columns if there are any."""
-    stored = [c for c in columns if c != SNAPSHOT]
-    rows = spark.read.schema(
-        T.StructType([*[T.StructField(c, T.StringType()) for c in [*stored, EXTRA]], T.StructField(SNAPSHOT, T.DateType())])
-    ).csv(path, header=True, enforceSchema=False, escape='"')
-    text = {c: _many_lines(F.col(c)).alias(c) for c in [*stored, EXTRA]}
-    return rows.select(*[F.col(c) if c == SNAPSHOT else text[c] for c in [*columns, EXTRA]])
+    return _stored(spark, path, columns).where(F.col(SNAPSHOT).isNotNull()).select(*columns, EXTRA)
 
 
 def extra_column(rows: DataFrame, name: str) -> DataFrame:
