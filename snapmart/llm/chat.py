@@ -10,7 +10,7 @@ text. Field names of a record that are declared as extra are left out of its sha
 
 Strings may have any length. A record is read as a variant, which holds 128 MiB; a larger record that is JSON stops
 ``to_turns`` with an error, so that no turn goes silently. Rows of a table need no record of that size: their text stays in
-its column (``row``).
+its column (``long_text``).
 """
 
 from collections.abc import Mapping, Sequence
@@ -165,13 +165,13 @@ def _declared(written: str) -> str:
 
 
 def to_turns(
-    records: DataFrame, record: str, layouts: Mapping = LAYOUTS, extra: Sequence[str] = (), row: tuple[str, str] | None = None
+    records: DataFrame, record: str, layouts: Mapping = LAYOUTS, extra: Sequence[str] = (), long_text: str | None = None
 ) -> DataFrame:
     """``records`` with ``layout`` (null if unknown) and one row per turn: ``position, role, text``.
 
-    ``record`` names a column of JSON text. Records without a known layout give no rows here. ``row`` names columns with
-    the role and text of records that are one turn themselves; where they are not null they stand for the record's values,
-    so that the record only needs the paths.
+    ``record`` names a column of JSON text. Records without a known layout give no rows here. ``long_text`` names a column
+    with the text of records that are one turn themselves; where it is not null it stands for the record's own, which then
+    may be empty, so that a text of any length needs no place in a record.
     """
     known = records.withColumn("_llm_v", _complete(F.col(record), parsed(F.col(record))))
     known = known.withColumn("_llm_f", fingerprint(shape(F.col("_llm_v"), extra)))
@@ -180,9 +180,8 @@ def to_turns(
         fits = F.col("_llm_f").isin(*[fingerprint(F.lit(_declared(s))) for s in declared.shapes()])
         layout = F.when(fits, name).otherwise(layout)
         mapped = declared.mapping(F.col("_llm_v"))
-        if row and isinstance(declared, Messages) and not declared.list_field:
-            own = {n: F.coalesce(F.col(c), mapped[0][n]).alias(n) for n, c in zip(("role", "text"), row)}
-            mapped = F.array(F.struct(own["role"], own["text"]))
+        if long_text and isinstance(declared, Messages) and not declared.list_field:
+            mapped = F.array(F.struct(mapped[0]["role"].alias("role"), F.coalesce(F.col(long_text), mapped[0]["text"]).alias("text")))
         turns = F.when(fits, mapped.cast(TURNS)).otherwise(turns)
     named = known.withColumns({"layout": layout, "_llm_turns": turns}).drop("_llm_v", "_llm_f", "position", "role", "text")
     return named.select(

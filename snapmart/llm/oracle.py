@@ -1,5 +1,7 @@
 """The queries that SQL can express, in DuckDB's SQL."""
 
+from snapmart.llm.url_filter import LONG_SUFFIXES
+
 # Both levels of moments below mirror the definition of a beta-binomial prior; see each operator's docstring.
 _RHO = """greatest(0.01, least(0.95, CASE WHEN sum(mean * (1 - mean) * (n - 1)) > 0
     THEN (sum(n * (bad::DOUBLE / n - mean) ** 2) - sum(mean * (1 - mean))) / sum(mean * (1 - mean) * (n - 1))
@@ -33,11 +35,13 @@ fitting AS (
     AND starts_with(path, substr(rule, strpos(rule, '/')))
   GROUP BY page_id),
 ruled AS (SELECT s.*, f.rule, f.ruled FROM split s LEFT JOIN fitting f USING (page_id)),
-labels AS (SELECT *, string_split(host, '.') AS parts FROM ruled),
+labels AS (
+  SELECT *, CASE WHEN array_to_string(parts[-2:], '.') IN ({', '.join(f"'{s}'" for s in LONG_SUFFIXES)}) THEN 2 ELSE 1 END AS long
+  FROM (SELECT *, string_split(host, '.') AS parts FROM ruled)),
 hosts0 AS (
   SELECT host, count(*) FILTER (ruled = 'block') AS bad, count(ruled) AS n,
-    array_to_string(parts[-2:], '.') AS domain, parts[-1] AS suffix
-  FROM labels GROUP BY host, parts),
+    array_to_string(parts[-long - 1:], '.') AS domain, array_to_string(parts[-long:], '.') AS suffix
+  FROM labels GROUP BY host, parts, long),
 domains0 AS (SELECT suffix, domain, sum(bad) AS bad, sum(n) AS n FROM hosts0 GROUP BY ALL),
 suffixes AS (
   SELECT suffix, sum(bad) AS bad, sum(n) AS n, coalesce(any_value(total.p), 0) AS mean

@@ -44,15 +44,15 @@ def op2_url_filters(spark, sf):
 
 
 def op3_chat_format(spark, sf):
-    # The record of a row has its paths; the values stay in their columns, however long they are.
-    paths = F.struct(*[F.when(F.col(c).isNotNull(), "").alias(c) for c in ("role", "text")])
+    # A row is a record of its role and text; the text itself stays in its column, however long it is.
+    fields = F.struct("role", F.when(F.col("text").isNotNull(), "").alias("text"))
     rows = _table(spark, sf, "conversations").select(
-        "conv_id", "turn", "role", "text", F.to_json(paths, {"ignoreNullFields": "false"}).alias("record")
+        "conv_id", "turn", "text", F.to_json(fields, {"ignoreNullFields": "false"}).alias("record")
     )
     control = spark.range(1).select(
         F.lit(-1).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.lit(CONTROL_RECORD).alias("record")
     )
-    turns = chat.to_turns(rows.unionByName(control, allowMissingColumns=True), "record", row=("role", "text"))
+    turns = chat.to_turns(rows.unionByName(control, allowMissingColumns=True), "record", long_text="text")
     read = chat.read_turns(chat.format_turns(turns))
     return chat.digest(read, "conv_id", ["turn", "position"])
 
@@ -78,6 +78,8 @@ def op5_suffix_dedup(spark, sf):
         (length - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        # What is left as text; characters of which only a part is left are shown as replaced.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
     )
 
 

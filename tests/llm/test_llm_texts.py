@@ -172,6 +172,91 @@ def test_toxicity_of_messy_rows(messy, network):
     assert toxicity.score(messy.limit(0), network).count() == 0
 
 
+def _plain_score(network, text):
+    """One text through the network, word by word and filter by filter."""
+    x = [network.embed(np.array([h], np.uint64))[0] for h in text] or [np.zeros(toxicity.SIZE)]
+    x += [np.zeros(toxicity.SIZE)] * toxicity.PAD
+    total, k = network.bias, 0
+    for weights, bias in zip(network.filters, network.biases):
+        for f in range(toxicity.FILTERS):
+            answers = [
+                sum(float(weights[j, :, f] @ x[i + j]) for j in range(len(weights))) + float(bias[f])
+                for i in range(len(x) - toxicity.PAD)
+            ]
+            total += max(0.0, max(answers)) * float(network.out[k])
+            k += 1
+    return total
+
+
+def _small_set():
+    rng = np.random.default_rng(5)
+    words = [toxicity.word_hash(f"word{i}") for i in range(40)]
+    texts = [np.array([words[i] for i in rng.integers(0, 40, n)], np.uint64) for n in (0, 1, 2, 5, 9, 14)]
+    return texts, np.array([1, 0, 1, 0, 1, 0], np.float32), np.array([1, 2, 1, 1, 3, 1], np.float32)
+
+
+def test_network_equals_a_plain_convolution():
+    texts, toxic, weights = _small_set()
+    network = toxicity.fit(texts, toxic, weights, epochs=2)
+    assert np.allclose(toxicity.raw_scores(network, texts), [_plain_score(network, t) for t in texts], atol=1e-4)
+
+
+def test_training_steps_follow_the_numeric_gradient(monkeypatch):
+    """The gradients of one pass without hidden words against differences of the loss."""
+    steps = {}
+
+    def note(self, name, param, grad, rows=None):
+        steps[name] = (np.array(grad, float), None if rows is None else np.array(rows))
+
+    monkeypatch.setattr(toxicity._Adagrad, "step", note)
+    # Without the empty text, whose answers lie on the kink at 0 as long as the biases are 0.
+    texts, toxic, weights = (x[1:] for x in _small_set())
+    network = toxicity.fit(texts, toxic, weights, epochs=1, hidden=0.0)  # the parameters stay as they were drawn
+    network.out = network.out.astype(float)
+    for part in (network.tables, network.filters, network.biases):
+        part[:] = [p.astype(float) for p in part]
+
+    def loss():
+        z = np.array([_plain_score(network, t) for t in texts])
+        p = 1 / (1 + np.exp(-z))
+        held = 0.5e-4 * ((network.out**2).sum() + sum((w**2).sum() for w in network.filters))
+        return float((-(toxic * np.log(p) + (1 - toxic) * np.log(1 - p)) * weights).sum() / weights.sum() + held)
+
+    def slope(array, at, h=1e-5):
+        was = array[at]
+        array[at] = was + h
+        up = loss()
+        array[at] = was - h
+        down = loss()
+        array[at] = was
+        return (up - down) / (2 * h)
+
+    rng = np.random.default_rng(6)
+    for i in range(0, len(network.out), 5):
+        assert slope(network.out, i) == pytest.approx(steps["out"][0][i], abs=1e-5)
+    for k, weights_k in enumerate(network.filters):
+        for _ in range(6):
+            at = tuple(rng.integers(0, n) for n in weights_k.shape)
+            assert slope(weights_k, at) == pytest.approx(steps[f"filter{k}"][0][at], abs=1e-5)
+        assert slope(network.biases[k], 3) == pytest.approx(steps[f"bias{k}"][0][3], abs=1e-5)
+    for k, table in enumerate(network.tables):
+        grad, rows = steps[f"table{k}"]
+        for row in np.unique(rows)[::12]:
+            assert slope(table, (row, 7)) == pytest.approx(grad[rows == row, 7].sum(), abs=1e-5)
+    assert steps["bias"][0][0] == pytest.approx(sum(w * (1 / (1 + np.exp(-_plain_score(network, t))) - y) for w, t, y in zip(weights, texts, toxic)) / weights.sum(), abs=1e-4)
+
+
+def test_training_takes_one_row_of_a_repeated_key_and_no_row_of_an_empty_table(spark):
+    rows = [(i % 8, f"word{i % 8} vile" if i % 2 else f"word{i % 8} fine", "en") for i in range(400)] + [(None, "x", None), (9, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)] + [(9, 1), (None, 0), (3, None)], "doc_id long, toxic int")
+    once = toxicity.train(docs.dropDuplicates(["doc_id"]), labels)
+    many = toxicity.train(docs.unionByName(docs), labels)
+    assert np.allclose(many.out, once.out) and many.bias == once.bias
+    blank = toxicity.train(docs.limit(0), labels.limit(0))
+    assert toxicity.score(docs, blank).select("score").distinct().count() == 1
+
+
 def test_toxicity_without_both_labels(spark, messy):
     labels = spark.createDataFrame([(1, 0), (2, None)], "doc_id long, toxic int")
     network = toxicity.train(messy, labels)
