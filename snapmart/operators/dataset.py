@@ -114,15 +114,20 @@ def stratified_split(
 
 def _train_quotas(sizes: DataFrame, label: str, train_share: float) -> DataFrame:
     """Train rows per label: proportional shares rounded down, the rest to the largest remainders."""
-    everything = Window.partitionBy(F.lit(0))
-    total = F.sum("rows").over(everything)
+    # One row per label, so they fit into one value.
+    whole = sizes.agg(F.collect_list(F.struct(F.col(label).alias("label"), "rows")).alias("all"), F.sum("rows").alias("total"))
     # A product that is whole but for rounding is not rounded up.
-    wanted = total - F.ceil(total * F.lit(1 - train_share) - F.lit(1e-9))
-    shares = sizes.select(label, "rows", wanted.alias("wanted"), (F.col("rows") / total * wanted).alias("share"))
-    remainder = F.col("share") - F.floor("share")
-    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(remainder.desc(), label))
-    spare = F.col("wanted") - F.sum(F.floor("share")).over(everything)
-    return shares.select(label, (F.floor("share") + F.when(place <= spare, 1).otherwise(0)).alias("quota"))
+    wanted = F.col("total") - F.ceil(F.col("total") * F.lit(1 - train_share) - F.lit(1e-9))
+
+    def part(x: Column) -> Column:
+        share = x["rows"] / F.col("total") * F.col("wanted")
+        return F.struct((F.floor(share) - share).alias("less"), x["label"].alias("label"), F.floor(share).alias("base"))
+
+    parts = whole.withColumn("wanted", wanted).select("wanted", F.array_sort(F.transform("all", part)).alias("parts"))
+    spare = F.col("wanted") - F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["base"])
+    shares = parts.select(spare.alias("spare"), F.posexplode("parts").alias("place", "part"))
+    quota = F.col("part.base") + F.when(F.col("place") < F.col("spare"), 1).otherwise(0)
+    return shares.select(F.col("part.label").alias(label), quota.alias("quota"))
 
 
 def split_statistics(df: DataFrame, split: str = "split", label: str = "label") -> DataFrame:

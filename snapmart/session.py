@@ -1,6 +1,7 @@
 """Session helpers: the shared work folder, and tables written there to cut lineage."""
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -9,8 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_FOLDER_KEY = "snapmart.local.work.folder"
 
-# Paths made inside each open `work_tables` block.
-_open_blocks: list[list[str]] = []
+class _Blocks(threading.local):
+    """Paths made inside each open `work_tables` block of a thread."""
+
+    def __init__(self):
+        self.open: list[list[str]] = []
+
+
+_blocks = _Blocks()
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -33,7 +40,7 @@ def work_folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str, keep: bool = False) -> str:
     """A new path in the work folder; one to ``keep`` outlives the innermost ``work_tables`` block."""
     path = f"{work_folder(spark).rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    blocks = _open_blocks[:-1] if keep else _open_blocks
+    blocks = _blocks.open[:-1] if keep else _blocks.open
     if blocks:
         blocks[-1].append(path)
     return path
@@ -66,11 +73,11 @@ def work_tables(spark: SparkSession) -> Iterator[None]:
 
     Frames that read the others must not be used later.
     """
-    _open_blocks.append([])
+    _blocks.open.append([])
     try:
         yield
     finally:
-        for path in _open_blocks.pop():
+        for path in _blocks.open.pop():
             _delete(spark, path)
 
 
