@@ -201,6 +201,29 @@ def test_removed_bytes_equal_brute_force(spark, length, letters, scanned):
     assert got == sorted(expected, key=repr)
 
 
+def test_given_documents_lose_what_all_windows_say(spark):
+    """Every 400-byte window of the whole table, compared as bytes."""
+    from snapmart.llm.queries import op5_suffix_dedup
+
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    seen = Counter(t[i : i + 400] for t in texts.values() for i in range(len(t) - 399))
+    wanted = {}
+    for key, data in texts.items():
+        spans: list[list[int]] = []
+        for i in range(len(data) - 399):
+            if seen[data[i : i + 400]] > 1:
+                if spans and i <= spans[-1][1]:
+                    spans[-1][1] = i + 400
+                else:
+                    spans.append([i, i + 400])
+        kept = b"".join(data[a:b] for a, b in zip([0, *[s[1] for s in spans]], [*[s[0] for s in spans], len(data)]))
+        wanted[key] = (len(data), sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept).hexdigest(), kept.decode(errors="replace"))
+    found = op5_suffix_dedup(spark, sf).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.kept_text) for r in found} == wanted
+    assert sum(w[1] > 0 for w in wanted.values()) > 100
+
+
 def test_long_texts_are_hashed_in_parts():
     rnd = np.random.default_rng(2)
     text = rnd.integers(97, 101, 3 * suffix_dedup._BUFFER // 2, dtype=np.uint8).tobytes()
