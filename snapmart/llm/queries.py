@@ -78,8 +78,6 @@ def op5_suffix_dedup(spark, sf):
         (length - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
-        # What is left as text; characters of which only a part is left are shown as replaced.
-        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
     )
 
 

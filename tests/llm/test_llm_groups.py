@@ -218,9 +218,9 @@ def test_given_documents_lose_what_all_windows_say(spark):
                 else:
                     spans.append([i, i + 400])
         kept = b"".join(data[a:b] for a, b in zip([0, *[s[1] for s in spans]], [*[s[0] for s in spans], len(data)]))
-        wanted[key] = (len(data), sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept).hexdigest(), kept.decode(errors="replace"))
+        wanted[key] = (len(data), sum(b - a for a, b in spans), len(spans), hashlib.sha256(kept).hexdigest())
     found = op5_suffix_dedup(spark, sf).collect()
-    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, r.kept_text) for r in found} == wanted
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == wanted
     assert sum(w[1] > 0 for w in wanted.values()) > 100
 
 
