@@ -102,17 +102,16 @@ _CODES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
 
 
 def _one_line(c: Column) -> Column:
-    coded = c
     for plain, code in _CODES:
-        coded = F.replace(coded, F.lit(plain), F.lit(code))
-    # Most texts have nothing to code, which one look shows.
-    return F.when(c.rlike(r"[\\\n\r]"), coded).otherwise(c)
+        c = F.replace(c, F.lit(plain), F.lit(code))
+    return c
 
 
 def _many_lines(c: Column) -> Column:
     plain = c
     for text, code in reversed(_CODES):
         plain = F.replace(plain, F.lit(code), F.lit(text))
+    # Most texts have no code in them, which one search shows.
     return F.when(F.contains(c, F.lit("\\")), plain).otherwise(c)
 
 
