@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from snapmart.functions.columns import date_in_file_name
 from snapmart.schemas import SNAPSHOT
-from snapmart.session import delete_folder, folder_exists
+from snapmart.session import delete_folder, folder_exists, shuffles_freed
 from snapmart.sources import multiline
 
 # Columns beside the sources' own: unreadable lines, and columns that a table's schema does not name.
@@ -72,7 +72,8 @@ def write_snapshots(
     """Overwrite exactly the partitions that ``df`` holds, or the whole table, in a single pass over it.
 
     ``rebalance`` gathers each partition's rows into few files, and splits a snapshot that holds much of the
-    data into several tasks, where a plain repartition on the date would give it to a single one.
+    data into several tasks, where a plain repartition on the date would give it to a single one. CSV is compressed, as
+    its text is several times as large; its files are small enough to be read by one task each.
     """
     writer = (
         df.hint("rebalance", *[F.col(c) for c in partition_columns])
@@ -82,9 +83,10 @@ def write_snapshots(
     )
     if file_format == "csv":
         writer = writer.options(
-            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression="gzip"
         )
-    writer.format(file_format).save(path)
+    with shuffles_freed(df.sparkSession):
+        writer.format(file_format).save(path)
 
 
 def save_bucketed(df: DataFrame, table: str, path: str, by: list[str], buckets: int = 64) -> None:
@@ -94,7 +96,8 @@ def save_bucketed(df: DataFrame, table: str, path: str, by: list[str], buckets:
     join, so that a customer with very many rows is spread over its snapshots.
     """
     dealt = df.repartition(buckets, *by).sortWithinPartitions(*by)
-    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, *by).sortBy(*by).saveAsTable(table)
+    with shuffles_freed(df.sparkSession):
+        dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, *by).sortBy(*by).saveAsTable(table)
 
 
 # How bronze writes what would part a line: every backslash it writes is followed by one of these letters.

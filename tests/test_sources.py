@@ -1,8 +1,10 @@
+import re
+import time
 from datetime import date
 from pathlib import Path
 
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 from snapmart.plans import etl
 from snapmart.plans.layout import Mart
@@ -223,3 +225,23 @@ def test_multi_line_records_cross_many_splits(spark, tmp_path):
     (tmp_path / "z.csv").write_text("b,a\n1,2\n")
     with pytest.raises(Exception, match="CSV header does not conform"):
         snapshots.read_csv(spark, str(tmp_path), multi_line=True).collect()
+
+
+def test_written_tables_leave_no_shuffles_and_bronze_is_compressed(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {n for n in re.findall(r"shuffle_\d+_", disk.getAllBlocks().mkString(" "))}
+    before, mart = shuffled(), Mart(str(tmp_path))
+    raw = spark.range(20_000).selectExpr(
+        "cast(id as string) as Customer_ID", "'a name, with \"quotes\"' as Name", "cast(id % 90 as string) as Age", "'_' as SSN",
+        "cast(null as string) as Occupation", "cast(date_add(date'2024-01-01', cast(id % 3 as int)) as string) as snapshot_date",
+    )
+    snapshots.split_into_snapshots(raw, mart.bronze("attributes"), RAW_COLUMNS["attributes"], mart.quarantine("attributes"))
+    materialize(raw.groupBy("Age").count(), "counts")
+    stored = sum(f.stat().st_size for f in Path(mart.bronze("attributes")).rglob("part-*"))
+    assert stored < 20_000 * 10
+    assert rows(etl.read_bronze(spark, mart, "attributes")) == rows(raw.withColumn("snapshot_date", F.col("snapshot_date").cast("date")))
+    for _ in range(50):  # they are deleted in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before
