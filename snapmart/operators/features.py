@@ -55,15 +55,14 @@ def attach_profiles(profiles: DataFrame, clicks: DataFrame, point_in_time: bool
     look ahead. With ``point_in_time`` it is the latest profile up to the click's date, of several with one date the
     last in the order of their values, and the result has the click rows.
 
-    ``profiles`` is read twice, so let it be a stored table. An inner join's large partitions are split on both sides
-    as it runs, which those of an outer join are not; so click rows without a profile are found apart.
+    One outer join, so that the clicks' averages are reckoned once. They lie by customer already, and stay so; where they
+    are shuffled for it, a hot customer's clicks are split as the join runs.
     """
     if point_in_time:
         return _latest_profiles(profiles, clicks)
     profiles = profiles.drop(SNAPSHOT)
-    matched = profiles.join(clicks, [ENTITY], "inner")
-    unmatched = clicks.join(profiles.select(ENTITY).distinct(), [ENTITY], "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    joined = clicks.join(profiles, [ENTITY], "left")
+    return joined.select(*profiles.columns, *[c for c in clicks.columns if c != ENTITY])
 
 
 def _latest_profiles(profiles: DataFrame, clicks: DataFrame) -> DataFrame:

@@ -75,6 +75,12 @@ def test_every_click_row_meets_all_profiles_of_its_customer(spark):
     assert joined.count() == 3 * 6 + 70 * 6 + 6 + 6
 
 
+def test_averages_are_reckoned_once_for_the_profile_join(spark):
+    _, profiles, seen = _people_and_clicks(spark)
+    joined = features.attach_profiles(profiles, features.rolling_month_average(seen, ["fe"]))
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+
+
 def test_point_in_time_profiles_do_not_look_ahead(spark):
     people, profiles, seen = _people_and_clicks(spark)
     joined = features.attach_profiles(profiles, seen, point_in_time=True)
