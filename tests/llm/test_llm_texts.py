@@ -263,6 +263,26 @@ def test_toxicity_without_both_labels(spark, messy):
     assert {round(r.score, 6) for r in toxicity.score(messy, network).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_every_labelled_text_to_its_end(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "DOCS", 50)
+    plain = "plain " * 3500
+    texts = [(i, f"{plain}word{i % 40} {f'vile{i}' if i % 3 == 0 else ''}", "en") for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    chunks = []
+    made = toxicity._chunks
+    monkeypatch.setattr(toxicity, "_chunks", lambda *given: chunks.append(made(*given)) or chunks[-1])
+    network = toxicity.train(docs, labels)
+    assert chunks[0].count() == 6 and toxicity.train(docs.repartition(7), labels).bias == network.bias
+    # The rows of words that stand only once, at the end of long texts, are used; those of no text are not.
+    for i in range(0, 300, 3):
+        if toxicity.zlib.crc32(str(i).encode()) // 5 % 5:
+            own = toxicity.rows_of(np.array([toxicity.word_hash(f"vile{i}")], np.uint64))
+            assert all(network.tables[k][own[k]].any() for k in range(2))
+    fresh = toxicity.rows_of(np.array([toxicity.word_hash(f"new{i}") for i in range(50)], np.uint64))
+    assert sum(network.tables[0][r].any() for r in fresh[0]) < 5
+
+
 def test_threshold_of_best_f1():
     score, toxic = np.array([0.9, 0.8, 0.4, 0.3, 0.1]), np.array([1, 1, 0, 1, 0])
     assert 0.1 < toxicity.best_threshold(score, toxic, np.ones(5)) < 0.3
