@@ -18,6 +18,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="snapmart-tests-"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "1000")  # tests look for whole paths in plans
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
