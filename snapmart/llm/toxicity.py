@@ -4,8 +4,8 @@ A word's embedding is the sum of rows of three hashed tables, two for the word,
 differ, and one for its first letters, so that words not met before resemble their kin. Filters of one to three words slide over the text, the strongest answer of each is kept, and a logistic layer makes the score. The
 convolution is linear until the maximum, so that scoring adds rows of precomputed tables, one per distinct word.
 
-The model is fitted on every labelled text, whole. Texts are dealt by a hash of their key into chunks of about ``DOCS``
-texts. In each pass every chunk goes on from the common parameters by itself, and Spark adds up what the chunks changed;
+The model is fitted on every labelled text, whole. A broadcast bitmap of the labels' hashes keeps most other documents from
+the shuffle, which deals texts and labels together by a hash of their key into chunks of about ``DOCS`` texts. In each pass every chunk goes on from the common parameters by itself, and Spark adds up what the chunks changed;
 the mean, over the chunks that changed a row of a table, makes the next common parameters. Changes are added as whole
 multiples of 2^-16, so that the sums do not depend on their order. The driver holds the parameters only. A fifth of the
 texts are kept apart; counts of all their raw scores, in steps of 1/``GRID``, calibrate the score and find each
@@ -38,6 +38,7 @@ ROWS = 1 << 16
 STEM = 4
 TABLES = 3
 BLOCK = 1 << 10  # rows of a table that are added up together
+MOST_BITS = 1 << 26  # of the filter that keeps unlabelled documents from the shuffle; it is broadcast
 UNIT = float(1 << 16)
 PAD = max(WIDTHS) - 1  # empty words after each text, which filters may reach over
 KEPT_WORDS = 100_000
@@ -218,10 +219,42 @@ def _copy(network: Network) -> Network:
     )
 
 
+def _perhaps_labelled(documents: DataFrame, known: DataFrame, key: str, labels: int) -> DataFrame:
+    """``documents`` without most of those that have no label in ``known``; none that has one goes.
+
+    A bit is set for each label's hash. Where labels outnumber the bits, fewer documents are recognised and more stay.
+    """
+    bits = min(MOST_BITS, 1 << max(15, (16 * labels).bit_length()))
+    hashed = F.pmod(F.xxhash64(key), F.lit(bits)) + 1
+    bucket, place = F.bitmap_bucket_number(hashed), F.bitmap_bit_position(hashed)
+    table = known.select(bucket.alias("_llm_bucket"), place.alias("_llm_place")).groupBy("_llm_bucket").agg(
+        F.bitmap_construct_agg("_llm_place").alias("_llm_bits")
+    )
+    byte = F.conv(F.hex(F.substring("_llm_bits", F.shiftright("_llm_place", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = documents.withColumns({"_llm_bucket": bucket, "_llm_place": place}).join(F.broadcast(table), "_llm_bucket")
+    return marked.where(F.getbit(byte, (F.col("_llm_place") % 8).cast("int")) == 1).select(*documents.columns)
+
+
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """``part, key, toxic, lang, text``: one row for each key that has a label and a text, in the order of part and key.
+
+    ``rows`` (key, toxic, own) are labels and documents beside each other, so that a text is shuffled once: to its part.
+    """
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts))).repartition("part")
+    both = dealt.groupBy("part", "key").agg(F.max("toxic").alias("toxic"), F.min("own").alias("own"))
+    both = both.where(F.col("toxic").isNotNull() & F.col("own").isNotNull())
+    return both.select("part", "key", "toxic", "own.lang", "own.text").sortWithinPartitions("part", "key")
+
+
+def _number_type(words: int) -> str:
+    """Of the numbers of a chunk's distinct words, by which the chunk is stored."""
+    return "<u2" if words <= 1 << 16 else "<u4"
+
+
 def _chunks(rows: DataFrame, parts: int) -> DataFrame:
-    """``rows`` (key, toxic, lang, text) as a table of chunks, the same however the rows were dealt before."""
-    names = ["seed", "toxic", "held", "langs", "sizes", "words"]
-    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.string()), pa.binary(), pa.binary())
+    """``rows`` (key, toxic, own) as a table of chunks, the same however the rows were dealt before."""
+    names = ["seed", "toxic", "held", "langs", "sizes", "words", "numbers"]
+    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, keys, toxic, langs, words, held, size = None, [], [], [], [], [], 0
@@ -229,9 +262,10 @@ def _chunks(rows: DataFrame, parts: int) -> DataFrame:
 
         def made() -> pa.RecordBatch:
             sizes = np.array([len(w) for w in words], "<i8")
+            distinct, numbers = np.unique(np.concatenate(words), return_inverse=True)
             values = [
                 zlib.crc32("\n".join(keys).encode()), np.array(toxic, "<f4").tobytes(), np.array(held, bool).tobytes(), list(langs),
-                sizes.tobytes(), np.concatenate(words).astype("<u8").tobytes(),
+                sizes.tobytes(), distinct.astype("<u8").tobytes(), numbers.astype(_number_type(len(distinct))).tobytes(),
             ]
             for some in (keys, toxic, langs, words, held):
                 some.clear()
@@ -259,18 +293,16 @@ def _chunks(rows: DataFrame, parts: int) -> DataFrame:
         if keys:
             yield made()
 
-    dealt = rows.select(F.pmod(F.xxhash64("key"), F.lit(parts)).alias("part"), "key", "toxic", "lang", "text")
-    ordered = dealt.repartition("part").sortWithinPartitions("part", "key")
-    kind = "seed long, toxic binary, held binary, langs array<string>, sizes binary, words binary"
-    return materialize(ordered.mapInArrow(run, kind), "toxicity-chunks")
+    kind = "seed long, toxic binary, held binary, langs array<string>, sizes binary, words binary, numbers binary"
+    return materialize(_dealt(rows, parts).mapInArrow(run, kind), "toxicity-chunks")
 
 
 def _read_chunks(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         for row in range(batch.num_rows):
-            seed, toxic, held, langs, sizes, words = (batch.column(i)[row].as_py() for i in range(6))
-            ends = np.cumsum(np.frombuffer(sizes, "<i8"))
-            texts = np.split(np.frombuffer(words, "<u8"), ends[:-1])
+            seed, toxic, held, langs, sizes, words, numbers = (batch.column(i)[row].as_py() for i in range(7))
+            ends, distinct = np.cumsum(np.frombuffer(sizes, "<i8")), np.frombuffer(words, "<u8")
+            texts = np.split(distinct[np.frombuffer(numbers, _number_type(len(distinct)))], ends[:-1])
             yield seed, np.frombuffer(toxic, "<f4"), np.frombuffer(held, bool), langs, texts
 
 
@@ -421,16 +453,16 @@ def best_threshold(score: np.ndarray, toxic: np.ndarray, weights: np.ndarray) ->
 
 def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Network:
     """Fits on all labelled documents; ``labels`` has ``key`` and ``toxic``."""
-    # Stored, so that the planner knows the table's size and shuffles the documents only if it is large.
-    known = materialize(
-        labels.where(F.col("toxic").isNotNull()).groupBy(key).agg(F.max("toxic").cast("int").alias("toxic")), "toxicity-labels"
-    )
-    # Of rows with one key the least by a hash is taken, so that a repeated key counts as much as another; tasks reduce their
-    # own rows before they meet.
+    # Of the documents' type; a label whose key has no counterpart in it goes, as does one without a key.
+    own_key = F.col(key).try_cast(documents.schema[key].dataType)
+    known = labels.where(F.col("toxic").isNotNull() & (own_key == F.col(key))).select(own_key.alias(key), "toxic")
+    known = materialize(known.groupBy(key).agg(F.max("toxic").cast("int").alias("toxic")), "toxicity-labels")
+    count = known.count()
+    # Of rows with one key the least by a hash is taken, so that a repeated key counts as much as another.
     own = F.struct(F.xxhash64(text, lang).alias("hash"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    rows = documents.select(key, text, lang).join(known, key).groupBy(key, "toxic").agg(F.min(own).alias("own"))
-    rows = rows.select(F.col(key).cast("string").alias("key"), "toxic", F.col("own.lang").alias("lang"), F.col("own.text").alias("text"))
-    chunks = _chunks(rows, max(1, -(-known.count() // DOCS)))
+    as_key = F.col(key).cast("string").alias("key")
+    texts = _perhaps_labelled(documents.select(key, text, lang), known, key, count).select(as_key, own.alias("own"))
+    chunks = _chunks(known.select(as_key, "toxic").unionByName(texts, allowMissingColumns=True), max(1, -(-count // DOCS)))
 
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

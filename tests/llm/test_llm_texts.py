@@ -257,6 +257,44 @@ def test_training_takes_one_row_of_a_repeated_key_and_no_row_of_an_empty_table(s
     assert toxicity.score(docs, blank).select("score").distinct().count() == 1
 
 
+def test_only_labelled_texts_are_shuffled_and_once(spark, monkeypatch):
+    """A plain join of texts and labels would deal out all texts by their key, and the labelled ones by chunk again."""
+    docs = spark.range(4000).select(
+        F.when(F.col("id") != 3999, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") != 7, F.format_string("word%d fine", "id")).alias("text"), F.lit("en").alias("lang"),
+    )
+    docs = docs.unionByName(docs.where("doc_id < 20"))
+    labels = spark.range(1, 8001, 40).select(F.col("id").cast("int").alias("doc_id"), (F.col("id") % 80 == 1).cast("int").alias("toxic"))
+    labels = labels.unionByName(spark.createDataFrame([(1, 0), (7, 1), (8, None), (None, 1)], "doc_id int, toxic int"))
+    made, store = {}, toxicity.materialize
+    monkeypatch.setattr(toxicity, "materialize", lambda df, name: made.setdefault(name, (df, store(df, name)))[1])
+    monkeypatch.setattr(toxicity, "DOCS", 10)
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    monkeypatch.setattr(toxicity, "ROWS", 64)
+    monkeypatch.setattr(toxicity, "BLOCK", 64)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        toxicity.train(docs, labels)
+        plan = made["toxicity-chunks"][0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" not in plan and plan.count("REPARTITION_BY_COL") == 1
+    table = made["toxicity-chunks"][1]
+    read = list(toxicity._read_chunks(iter([b for b in table.toArrow().to_batches()])))
+    assert len(read) > 5
+    found = sorted((float(t), tuple(w.tolist())) for _, toxic, _, _, texts in read for t, w in zip(toxic, texts))
+    words = lambda i: tuple(toxicity.word_hash(w) for w in ((f"word{i}", "fine") if i != 7 else ()))
+    assert found == sorted([(float(i % 80 == 1), words(i)) for i in range(1, 3999, 40)] + [(1.0, words(7))])
+    known = made["toxicity-labels"][1]
+    kept = toxicity._perhaps_labelled(docs, known, "doc_id", known.count())
+    assert kept.join(known, "doc_id").count() == docs.join(known, "doc_id").count() and kept.count() < 600
+    # With fewer bits than labels, more documents stay and none that has a label goes.
+    monkeypatch.setattr(toxicity, "MOST_BITS", 64)
+    few = toxicity._perhaps_labelled(docs, known, "doc_id", known.count())
+    assert few.join(known, "doc_id").count() == docs.join(known, "doc_id").count() and few.count() > kept.count()
+
+
 def test_toxicity_without_both_labels(spark, messy):
     labels = spark.createDataFrame([(1, 0), (2, None)], "doc_id long, toxic int")
     network = toxicity.train(messy, labels)
