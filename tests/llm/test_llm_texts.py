@@ -270,8 +270,6 @@ def test_only_labelled_texts_are_shuffled_and_once(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "materialize", lambda df, name: made.setdefault(name, (df, store(df, name)))[1])
     monkeypatch.setattr(toxicity, "DOCS", 10)
     monkeypatch.setattr(toxicity, "EPOCHS", 1)
-    monkeypatch.setattr(toxicity, "ROWS", 64)
-    monkeypatch.setattr(toxicity, "BLOCK", 64)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
