@@ -3,14 +3,17 @@ import time
 from datetime import date
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from checks import queries
+
 from snapmart.plans import etl
 from snapmart.plans.layout import Mart
 from snapmart.schemas import RAW_COLUMNS
 from snapmart.session import materialize, work_folder, work_tables
-from snapmart.sources import snapshots
+from snapmart.sources import multiline, snapshots
 
 from conftest import rows
 
@@ -245,3 +248,49 @@ def test_written_tables_leave_no_shuffles_and_bronze_is_compressed(spark, tmp_pa
             break
         time.sleep(0.2)
     assert shuffled() <= before
+
+
+def test_large_raw_files_are_written_by_all_tasks(spark):
+    """No task writes the whole table; each file has the header, also that of a table without rows."""
+    some = spark.range(0, 400, numPartitions=4).selectExpr("cast(id as string) as a", "if(id % 3 = 0, null, 'x\ny') as b")
+    for df in (some, some.where("false")):
+        path = queries._raw_files(df, "raw")
+        held = sorted(r[0] for r in spark.read.text(path, wholetext=True).where("value != ''").collect())
+        assert [t.count("a,b\n") for t in held] == [1] * len(held)
+        assert len(held) == (5 if df is some else 1) and max(t.count('","') for t in held) < 100
+        assert rows(snapshots.read_csv(spark, path, ["a", "b"], multi_line=True)) == rows(df)
+
+
+def _after_one_by_one(found, inside):
+    states = []
+    for i in range(len(found.bounds) - 1):
+        states.append(inside := found.after(i, inside))
+    return states
+
+
+def test_quotes_are_counted_as_the_patterns_count_them():
+    """Also where quotes stand in the middle of a field, doubled or alone, or after a closing one."""
+    import random
+
+    rnd = random.Random(8)
+    for i in range(3000):
+        odd = rnd.choice([0, 0.05, 0.4])
+        kinds = ['"a"', '"a""b"', '""', "a", "", '"x,', 'y"', '"', "\r"]
+        lines = [
+            ",".join(rnd.choice(['5" pipe', 'a"b"', '"s"t"', '"" "', '""""', '"""']) if rnd.random() < odd else rnd.choice(kinds) for _ in range(4))
+            for _ in range(rnd.choice([1, 3, 12]))
+        ]
+        found = multiline._Lines(pa.array(["not looked at", *lines, "nor this"], pa.string())[1:-1])
+        for inside in (False, True):
+            assert list(found.all_after(inside)) == _after_one_by_one(found, inside), lines
+            first = rnd.randrange(len(lines))
+            rest = multiline._Lines(pa.array(lines[first:], pa.string()))
+            assert list(found.all_after(inside, first)) == _after_one_by_one(rest, inside), lines
+
+
+def test_regular_lines_are_not_matched_one_by_one(monkeypatch):
+    lines = ['"1","paid', '""late"", ok","2"', "", "3,4,x", '"5","",""""'] * 2000
+    found = multiline._Lines(pa.array(lines, pa.string()))
+    wanted = _after_one_by_one(found, False)
+    monkeypatch.setattr(multiline._Lines, "after", lambda *_: pytest.fail("matched by itself"))
+    assert list(found.all_after(False)) == wanted == [True, False, False, False, False] * 2000
