@@ -294,3 +294,72 @@ def test_regular_lines_are_not_matched_one_by_one(monkeypatch):
     wanted = _after_one_by_one(found, False)
     monkeypatch.setattr(multiline._Lines, "after", lambda *_: pytest.fail("matched by itself"))
     assert list(found.all_after(False)) == wanted == [True, False, False, False, False] * 2000
+
+
+def test_bronze_is_shuffled_compressed(spark, tmp_path, monkeypatch):
+    raw = spark.range(60_000).selectExpr(
+        "cast(id as string) as Customer_ID", "concat('customer ', id % 977) as Name", "cast(id % 90 as string) as Age", "'_' as SSN",
+        "cast(null as string) as Occupation", "cast(date_add(date'2024-01-01', cast(id % 7 as int)) as string) as snapshot_date",
+    )
+    mart, sizes, real = Mart(str(tmp_path)), [], snapshots._packed
+
+    def noted(df):
+        held = snapshots._pack(df)
+        assert held.count() == 7 * df.rdd.getNumPartitions()  # a task's rows of a date go together
+        sizes.append(held.agg(F.sum(F.octet_length("_rows"))).first()[0])
+        return real(df)
+
+    monkeypatch.setattr(snapshots, "_packed", noted)
+    snapshots.split_into_snapshots(raw, mart.bronze("attributes"), RAW_COLUMNS["attributes"], mart.quarantine("attributes"))
+    assert len(sizes) == 1 and sizes[0] < 60_000 * 8  # 22 characters a row
+    assert rows(etl.read_bronze(spark, mart, "attributes")) == rows(raw.withColumn("snapshot_date", F.col("snapshot_date").cast("date")))
+
+
+def test_rows_of_bronze_files_are_not_shuffled_again(spark, tmp_path, monkeypatch):
+    raw = spark.range(500).selectExpr(
+        "cast(id as string) as Customer_ID", "'n' as Name", "cast(id % 90 as string) as Age", "'_' as SSN", "'o' as Occupation",
+        "cast(date_add(date'2024-01-01', cast(id % 3 as int)) as string) as snapshot_date",
+    )
+    mart, shuffled, now = Mart(str(tmp_path)), [], []
+    for name in ("lms", "attributes", "financials"):
+        columns = RAW_COLUMNS[name]
+        some = raw.select(*[F.col(c) if c in raw.columns else F.lit("1").alias(c) for c in columns])
+        snapshots.split_into_snapshots(some, mart.bronze(name), columns, mart.quarantine(name))
+    write, hint = snapshots.write_snapshots, type(raw).hint
+
+    def noted(df, path, *more, **others):
+        now[:] = [Path(path).name]
+        assert now[0] == "financials" or "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        write(df, path, *more, **others)
+
+    monkeypatch.setattr(etl, "write_snapshots", noted)
+    monkeypatch.setattr(type(raw), "hint", lambda df, *a, **b: (shuffled.append(now[0]) if now else None, hint(df, *a, **b))[1])
+    etl.build_silver(spark, mart)
+    assert set(shuffled) == {"financials"}
+    files = lambda top: len([f for f in Path(top).rglob("part-*") if not f.name.endswith(".crc")])
+    for table, source in (("loan_daily", "lms"), ("attributes", "attributes")):
+        assert snapshots.read_table(spark, mart.silver(table)).count() == 500
+        assert 3 <= files(mart.silver(table)) <= files(mart.bronze(source))
+
+
+@pytest.mark.parametrize("pack_bytes", [1, 32 << 20])
+def test_packed_rows_come_back_as_they_were(spark, tmp_path, monkeypatch, pack_bytes):
+    """All kinds of values, nulls, columns of nulls only, rows that come twice, many dates and one with most rows, no rows."""
+    monkeypatch.setattr(snapshots, "_PACK_BYTES", pack_bytes)
+    days = "if(id % 5 = 0, cast(null as date), if(id % 2 = 0, date'2024-01-01', date_add(date'1969-12-01', cast(id % 40 as int))))"
+    some = spark.range(0, 2000, numPartitions=3).selectExpr(
+        "id % 900 as a", f"{days} as snapshot_date", "if(id % 3 = 0, null, concat('t\u00e9\\n', id % 11)) as b", "cast(id / 3 as float) as c",
+        "if(id % 4 = 0, double('nan'), id / 7) as d", "cast(null as string) as e", "id % 2 = 0 as f", "cast(id as int) as g",
+        "timestamp'2024-03-01 10:00:00' as h", "cast(id as decimal(12, 2)) as i", "if(id = 3, 'once', null) as j",
+    )
+    some = some.unionByName(some.limit(50))
+    order = [c for c in some.columns if c != "snapshot_date"] + ["snapshot_date"]
+    for i, df in enumerate((some, some.where("false"))):
+        found = snapshots._packed(df)
+        assert found.schema.simpleString() == df.select(*order).schema.simpleString()
+        assert repr(rows(found)) == repr(rows(df, *order))
+        if not i:
+            path = str(tmp_path / "table")
+            snapshots.write_snapshots(df, path, shuffle="packed")
+            assert repr(rows(snapshots.read_table(spark, path))) == repr(rows(df, *order))
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") in ("64MB", "67108864b")
